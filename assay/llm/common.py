@@ -11,6 +11,8 @@ import assay
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Functions go to the executors by value: they need no copy of this package there.
 cloudpickle.register_pickle_by_value(assay)
@@ -41,14 +43,16 @@ def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow schema of a DDL string."""
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
 def map_batches(
     df: DataFrame, per_batch: Callable[[pa.RecordBatch], dict[str, list]], schema: str
 ) -> DataFrame:
     """Apply per_batch to each Arrow batch; it returns the output columns."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +79,7 @@ def replaced(batch: pa.RecordBatch, name: str, column: list) -> pa.RecordBatch:
     return batch.set_column(i, batch.schema.field(i), pa.array(column, type=batch.schema.field(i).type))
 
 
-def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
+def text_bytes(batch: pa.RecordBatch | pa.Table, name: str = "text") -> list[bytes | None]:
     """Texts as UTF-8 bytes, without decoding them."""
     column = batch.column(batch.schema.get_field_index(name))
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

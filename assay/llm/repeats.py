@@ -8,14 +8,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import identified, map_batches, space_words, text_bytes, values
+from assay.llm.common import arrow_schema, identified, map_batches, space_words, text_bytes, values
 
 #: Words of the shortest repeat that counts.
 WINDOW = 13
 #: Words of a reference block: 13 words in a row hold a whole block of 7, wherever blocks begin.
 BLOCK = 7
-#: Text bytes whose windows meet in one cell, about: cells grow with the input.
+#: Text bytes whose windows meet in one cell, and whose rows are one group, about: cells and
+#: groups grow with the input.
 BYTES_A_CELL = 16 << 20
+BYTES_A_GROUP = 4 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD1B54A32D192ED03)
@@ -44,10 +46,8 @@ def rolling(hashes: np.ndarray, length: int, multiplier: np.uint64 = _MIX) -> np
     return total
 
 
-def cell_count(docs: DataFrame, bytes_a_cell: int) -> int:
-    """How many cells the windows are dealt to, from the size of all texts."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, -(-total // bytes_a_cell))
+def text_size(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
 def _numbers(batch_column: pa.Array, kind: str) -> list[np.ndarray]:
@@ -118,18 +118,41 @@ def _numbers(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype=kind) for x in column.to_pylist()]
 
 
-def _by_row(row: np.ndarray, at: np.ndarray) -> pa.Table:
-    """(row, at): the positions of each row, packed."""
+def _packed(row: np.ndarray, at: np.ndarray, groups: int) -> pa.Table:
+    """(grp, row, lengths, at): positions by row, packed for each group of rows."""
+    group = row % groups
+    order = np.lexsort((at, row, group))
+    group, row, at = group[order], row[order], at[order].astype("<i4")
+    out: dict[str, list] = {"grp": [], "row": [], "lengths": [], "at": []}
+    names, sizes = _runs(group)
+    for name, end, size in zip(names.tolist(), np.cumsum(sizes), sizes):
+        rows, counts = _runs(row[end - size : end])
+        out["grp"].append(name)
+        out["row"].append(rows.tobytes())
+        out["lengths"].append(counts.astype("<i4").tobytes())
+        out["at"].append(at[end - size : end].tobytes())
+    return pa.table(out, schema=pa.schema([("grp", pa.int64()), ("row", pa.binary()), ("lengths", pa.binary()), ("at", pa.binary())]))
+
+
+_PACKED = "grp bigint, row binary, lengths binary, at binary"
+
+
+def _unpacked(table: pa.Table) -> dict[int, np.ndarray]:
+    """row: its ascending positions, from rows of _packed."""
+    if not table.num_rows:
+        return {}
+    counts = np.concatenate(_numbers(table["lengths"], "<i4"))
+    row = np.repeat(np.concatenate(_numbers(table["row"], "<i8")), counts)
+    at = np.concatenate(_numbers(table["at"], "<i4"))
     order = np.lexsort((at, row))
-    row, at = row[order], at[order].astype("<i4")
-    names, counts = _runs(row)
-    ends = np.cumsum(counts)
-    packed = [at[b - n : b].tobytes() for b, n in zip(ends, counts)]
-    return pa.table({"row": pa.array(names, pa.int64()), "at": pa.array(packed, pa.binary())})
+    row, at = row[order], at[order].astype(np.int64)
+    names, sizes = _runs(row)
+    ends = np.cumsum(sizes)
+    return {n: at[e - k : e] for n, e, k in zip(names.tolist(), ends, sizes)}
 
 
-def anchors(docs: DataFrame, cells: int) -> DataFrame:
-    """(row, at): where block-long windows stand that equal a reference block of another row.
+def anchors(docs: DataFrame, cells: int, groups: int) -> DataFrame:
+    """Packed (row, at): where block-long windows stand that equal a reference block of another row.
 
     Each row of docs (row, text) is cut into non-overlapping blocks, the reference; every
     rolling window probes them. Both are one packed list, as a window at a multiple of the
@@ -161,9 +184,9 @@ def anchors(docs: DataFrame, cells: int) -> DataFrame:
         shared = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
         shared &= np.logical_or.reduceat(at % BLOCK == 0, first)
         hit = np.repeat(shared, n)
-        return _by_row(row[hit], at[hit])
+        return _packed(row[hit], at[hit], groups)
 
-    return packed.groupBy("cell").applyInArrow(meet, "row bigint, at binary")
+    return packed.groupBy("cell").applyInArrow(meet, _PACKED)
 
 
 def windows_at(anchored: np.ndarray, n_words: int) -> np.ndarray:
@@ -176,27 +199,27 @@ def windows_at(anchored: np.ndarray, n_words: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(opened[:n]) > 0)
 
 
-def extend(anchored: DataFrame, cells: int, kind: str) -> DataFrame:
-    """(row, at): where windows begin that also start in a row with a smaller id, from rows of
-    (row, doc_id, text, anchors).
+def extend(docs: DataFrame, anchored: DataFrame, cells: int, groups: int, kind: str) -> DataFrame:
+    """Packed (row, at): where windows begin that also start in a row with a smaller id.
 
-    Anchors extend to the windows around them; windows of equal words meet by cell and hash
-    (64 bits beside the cell's). Unions of the windows found are the maximal exact repeats.
+    Anchors meet their texts by group and extend to the windows around them; windows of equal
+    words meet by cell and hash (64 bits beside the cell's). Unions of the windows found are
+    the maximal exact repeats.
     """
+    schema = f"cell int, row binary, doc_id array<{kind}>, lengths binary, keys binary, at binary"
+    arrow = arrow_schema(schema)
 
-    def candidates(batch):
-        windows = Windows()
-        for row, doc, text, found in zip(values(batch, "row"), values(batch, "doc_id"), text_bytes(batch), values(batch, "anchors")):
-            hashes = word_hashes(space_words(text))
-            at = windows_at(np.concatenate([np.frombuffer(x, dtype="<i4") for x in found]).astype(np.int64), len(hashes))
-            if len(at):
-                windows.add(row, doc, rolling(hashes, WINDOW)[at], rolling(hashes, WINDOW, _MIX2)[at], at)
-        return windows.dealt(cells)
-
-    packed = map_batches(
-        anchored, candidates,
-        f"cell int, row binary, doc_id array<{kind}>, lengths binary, keys binary, at binary",
-    )
+    def candidates(texts: pa.Table, found: pa.Table) -> pa.Table:
+        windows, known = Windows(), _unpacked(found)
+        for row, doc, text in zip(texts["row"].to_pylist(), texts["doc_id"].to_pylist(), text_bytes(texts)):
+            if row in known:
+                hashes = word_hashes(space_words(text))
+                at = windows_at(known[row], len(hashes))
+                if len(at):
+                    windows.add(row, doc, rolling(hashes, WINDOW)[at], rolling(hashes, WINDOW, _MIX2)[at], at)
+        return pa.table(windows.dealt(cells), schema=arrow)
+
+    packed = docs.groupBy("grp").cogroup(anchored.groupBy("grp")).applyInArrow(candidates, schema)
 
     def confirm(table: pa.Table) -> pa.Table:
         counts = _numbers(table["lengths"], "<i4")
@@ -210,12 +233,12 @@ def extend(anchored: DataFrame, cells: int, kind: str) -> DataFrame:
         key, row, at, rank = key[order], row[order], at[order], rank[order]
         _, n = _runs(key)
         least = np.repeat(np.minimum.reduceat(rank, np.cumsum(n) - n), n)
-        return _by_row(row[rank > least], at[rank > least])
+        return _packed(row[rank > least], at[rank > least], groups)
 
-    return packed.groupBy("cell").applyInArrow(confirm, "row bigint, at binary")
+    return packed.groupBy("cell").applyInArrow(confirm, _PACKED)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bytes_a_cell: int = BYTES_A_CELL) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bytes_a_cell: int = BYTES_A_CELL, bytes_a_group: int = BYTES_A_GROUP) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, repeats (maximal word spans), kept.
 
     A word goes if a window of 13 words that covers it also starts in a row with a smaller
@@ -227,33 +250,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     frame = identified(docs, id_col, text_col)
     kind = frame.schema["doc_id"].dataType.simpleString()
     frame = frame.withColumn("row", F.xxhash64(F.lit(1), "doc_id", "text"))
-    # Dealt by row once: both joins below find the texts there, in one query.
-    dealt = frame.repartition("row")
     there = frame.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    cells = cell_count(there, bytes_a_cell)
-    hits = anchors(there.select("row", "text"), cells).groupBy("row").agg(F.collect_list("at").alias("anchors"))
-    anchored = dealt.join(hits, "row").select("row", "doc_id", "text", "anchors")
-    starts = extend(anchored, cells, kind).groupBy("row").agg(F.collect_list("at").alias("starts"))
-
-    def per_batch(batch):
-        out = {"doc_id": values(batch, "doc_id"), "n_words": [], "n_removed": [], "repeats": [], "kept": []}
-        for text, found in zip(text_bytes(batch), values(batch, "starts")):
+    size = text_size(there)
+    cells, groups = (max(1, -(-size // n)) for n in (bytes_a_cell, bytes_a_group))
+    # Both cogroups below deal the texts alike, so one query deals them once.
+    dealt = frame.withColumn("grp", F.pmod("row", F.lit(groups)))
+    hits = anchors(there.select("row", "text"), cells, groups)
+    starts = extend(dealt, hits, cells, groups, kind)
+    schema = f"doc_id {kind}, n_words bigint, n_removed bigint, repeats array<struct<start:bigint,end:bigint>>, kept string"
+    arrow = arrow_schema(schema)
+
+    def cut(texts: pa.Table, found: pa.Table) -> pa.Table:
+        known = _unpacked(found)
+        out = {"doc_id": texts["doc_id"], "n_words": [], "n_removed": [], "repeats": [], "kept": []}
+        for row, doc, text in zip(texts["row"].to_pylist(), texts["doc_id"].to_pylist(), text_bytes(texts)):
             words = space_words(text)
             gone = np.zeros(len(words), dtype=bool)
             edges = []
-            if found:
-                at = np.unique(np.concatenate([np.frombuffer(x, dtype="<i4") for x in found]))
+            if doc is not None and row in known:
                 for shift in range(WINDOW):
-                    gone[at + shift] = True
+                    gone[known[row] + shift] = True
                 edges = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
                 words = [w for w, g in zip(words, gone.tolist()) if not g]
             out["n_words"].append(len(gone))
             out["n_removed"].append(int(gone.sum()))
             out["repeats"].append([{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
             out["kept"].append(b" ".join(words).decode())
-        return out
+        return pa.table(out, schema=arrow)
 
-    return map_batches(
-        dealt.join(starts, "row", "left").select("doc_id", "text", "starts"), per_batch,
-        f"doc_id {kind}, n_words bigint, n_removed bigint, repeats array<struct<start:bigint,end:bigint>>, kept string",
-    )
+    return dealt.groupBy("grp").cogroup(starts.groupBy("grp")).applyInArrow(cut, schema)
