@@ -18,6 +18,8 @@ BLOCK = 7
 #: groups grow with the input.
 BYTES_A_CELL = 16 << 20
 BYTES_A_GROUP = 4 << 20
+#: Windows of a batch that are dealt out together, to bound a task's memory.
+WINDOWS_AT_ONCE = 2_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD1B54A32D192ED03)
@@ -62,15 +64,16 @@ class Windows:
     """
 
     def __init__(self) -> None:
-        self.rows, self.ids, self.parts = [], [], []
+        self.rows, self.ids, self.parts, self.size = [], [], [], 0
 
     def add(self, row: int, doc: object, cell_key: np.ndarray, key: np.ndarray, at: np.ndarray) -> None:
         self.parts.append((cell_key, key, np.full(len(at), len(self.rows), dtype=np.int32), at.astype(np.int32)))
         self.rows.append(row)
         self.ids.append(doc)
+        self.size += len(at)
 
-    def dealt(self, cells: int) -> dict[str, list]:
-        out: dict[str, list] = {"cell": [], "row": [], "doc_id": [], "lengths": [], "keys": [], "at": []}
+    def dealt(self, cells: int, out: dict[str, list] | None = None) -> dict[str, list]:
+        out = out or {"cell": [], "row": [], "doc_id": [], "lengths": [], "keys": [], "at": []}
         if not self.parts:
             return out
         cell_key, key, owner, at = (np.concatenate(x) for x in zip(*self.parts))
@@ -161,14 +164,14 @@ def anchors(docs: DataFrame, cells: int, groups: int) -> DataFrame:
     """
 
     def probes(batch):
-        windows = Windows()
+        windows, out = Windows(), {}
         for row, text in zip(values(batch, "row"), text_bytes(batch)):
             key = rolling(word_hashes(space_words(text)), BLOCK)
             if len(key):
                 windows.add(row, None, key, key.astype(np.uint32), np.arange(len(key)))
-        out = windows.dealt(cells)
-        del out["doc_id"]
-        return out
+            if windows.size > WINDOWS_AT_ONCE:
+                windows, out = Windows(), windows.dealt(cells, out)
+        return windows.dealt(cells, out)
 
     packed = map_batches(docs, probes, "cell int, row binary, lengths binary, keys binary, at binary")
 
