@@ -93,6 +93,14 @@ def _found(docs: DataFrame, id_col: str, text_col: str, owner_col: str, reposito
     return saved(find_spans(frame.withColumn("row", key)).drop("text"))
 
 
+def may_hold(text: Column) -> Column:
+    """Whether any pattern matches; false for null."""
+    any_of = F.lit(False)
+    for pattern, _, _, gate in KINDS.values():
+        any_of = any_of | (text.contains(gate) & text.rlike(pattern) if gate else text.rlike(pattern))
+    return F.coalesce(any_of, F.lit(False))
+
+
 def _judged(found: DataFrame) -> DataFrame:
     """(row, start, end, n_owners, copied): every span of each row, repeated rows once."""
     spans = found.select("row", F.explode("found").alias("s")).select("row", "s.rank", "s.start", "s.end", F.sha2("s.value", 256).alias("hash")).distinct()
@@ -121,7 +129,12 @@ def clean(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     repository_col: str | None = None, chars_col: str | None = "n_chars", mask: str = "[REDACTED]",
 ) -> DataFrame:
-    """All documents, their live-looking secrets masked; widely copied examples stay."""
+    """All documents, their live-looking secrets masked; widely copied examples stay.
+
+    Only texts that a pattern matches meet the verdicts; the others aren't shuffled.
+    """
+    holds = may_hold(F.col(text_col).cast("string"))
+    plain, docs = docs.where(~holds), docs.where(holds)
     found = _found(docs, id_col, text_col, owner_col, repository_col)
     live = _judged(found).where(~F.col("copied")).groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans"))
     key = F.xxhash64(
@@ -132,7 +145,7 @@ def clean(
     result = joined.withColumn(text_col, masked(F.col(text_col), F.col("__spans"), mask))
     if chars_col:
         result = result.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
-    return result.select(*docs.columns)
+    return result.select(*docs.columns).union(plain)
 
 
 def _last(spans: Column) -> Column:
