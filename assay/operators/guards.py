@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assay.config import KEY_LENGTH
 from assay.functions import clean
 from assay.functions.names import is_currency_column
-from assay.operators.transform import CLEANED
+from assay.operators.transform import CLEANED, target_columns
 from assay.plans.contract import Contract, TableSpec
 from assay.types import LOGICAL
 
@@ -31,7 +31,8 @@ def too_long(column: str):
 
 def guard_counts(frame: DataFrame, table: TableSpec) -> DataFrame:
     """(code, column_name, bad_rows) of all row guards, counted in one pass over
-    transform.typed_with_cleaned(), and of repeated keys in one grouping."""
+    transform.typed_with_cleaned(), and of repeated keys in one
+    grouping, after exact duplicates go where that is approved."""
     counters = []
     keyed = set(table.primary_key) | {fk.column for fk in table.foreign_keys}
     for c in table.columns:
@@ -50,7 +51,10 @@ def guard_counts(frame: DataFrame, table: TableSpec) -> DataFrame:
     named = [F.struct(F.lit(code).alias("code"), F.lit(name).alias("column_name"), F.col(f"g{i}").alias("bad_rows")) for i, (code, name, _) in enumerate(counters)]
     out = row.select(F.inline(F.array(*named)))
     if table.primary_key:
-        twice = frame.groupBy(*table.primary_key).agg(F.count("*").alias("n")).where("n > 1")
+        rows = frame.select(*target_columns(table))
+        if table.fixes("EXACT_DUPLICATE", "REMOVE_EXACT_DUPLICATES"):
+            rows = rows.distinct()
+        twice = rows.groupBy(*table.primary_key).agg(F.count("*").alias("n")).where("n > 1")
         keys = twice.agg(F.lit(KEY_TWICE).alias("code"), F.lit("+".join(table.primary_key)).alias("column_name"), F.count("*").alias("bad_rows"))
         out = out.unionByName(keys)
     return out

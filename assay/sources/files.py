@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, location: str, kind: str = "parquet", **options: str) -> DataFrame:
-    """A raw table: parquet, csv (all text, `NA` kept as text), json, jdbc, or a catalog table."""
+    """A raw table: parquet, csv (all text, `NA` kept as text, empty fields null), json, jdbc, or a catalog table."""
     if kind == "table":
         return spark.read.table(location)
     if kind == "jdbc":
         return spark.read.format("jdbc").options(dbtable=location, **options).load()
     if kind == "csv":
-        options = {"header": "true", "inferSchema": "false", "nullValue": "\u0000", "emptyValue": "", "multiLine": "true", "escape": '"'} | options
+        options = {"header": "true", "inferSchema": "false", "multiLine": "true", "escape": '"'} | options
     return spark.read.format(kind).options(**options).load(location)
 
 
