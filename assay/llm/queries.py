@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assay.llm import decontamination, html_text, language, licenses, mixing, quality_gam, quality_rules, repeats, secrets, simhash
 from assay.llm.common import read
+from assay.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +67,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language, op7_licenses, op8_mixing, op9_html_text, op10_repeats,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
