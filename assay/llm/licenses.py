@@ -193,11 +193,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     repeated rows each give a row; an empty table gives an empty result; other columns are
     ignored.
     """
-    ordered = docs.sparkSession.sparkContext.broadcast(rules())
+    # Broadcasts pickle classes by name, which executors don't have: send plain tuples.
+    sent = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in rules()])
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"]
 
     def per_batch(batch):
-        rows = [judge(t, ordered.value) for t in text_bytes(batch)]
+        ordered = [Rule(*r) for r in sent.value]
+        rows = [judge(t, ordered) for t in text_bytes(batch)]
         return {"doc_id": values(batch, "doc_id")} | {n: [r[n] for r in rows] for n in names}
 
     frame = identified(docs, id_col, text_col)

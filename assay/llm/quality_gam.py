@@ -212,11 +212,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     whole; rows with a null id and repeated rows each give a row; an empty table gives an empty
     result; other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Broadcasts pickle classes by name, which executors don't have: send plain tuples.
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def per_batch(batch):
         x = np.array([features(t) for t in text_bytes(batch)], dtype=np.float64).reshape(-1, len(FEATURES))
-        found = score(x, sent.value)
+        found = score(x, Model(*sent.value))
         return {"doc_id": values(batch, "doc_id"), "score": found, "predicted": (found >= THRESHOLD).astype(np.int32)}
 
     frame = identified(docs, id_col, text_col)
