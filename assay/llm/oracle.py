@@ -57,6 +57,40 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_share <= 0.3::DOUBLE AS kept FROM counted
 """
 
+#: kind, least length, group that is measured, pattern: in the order of kinds.
+_SECRETS = (
+    ("assign", 6, 2, """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", 20, 0, "AKIA[A-Z0-9]+"),
+    ("hex", 24, 0, "[0-9a-f]+"),
+    ("github", 34, 0, "gh[oprsu]_[A-Za-z0-9]{30,}"),
+    ("slack", 25, 0, "xox[abprs]-[A-Za-z0-9-]{20,}"),
+    ("stripe", 24, 0, "[rs]k_live_[A-Za-z0-9]{16,}"),
+    ("jwt", 29, 0, "eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}"),
+    ("pem", 27, 0, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+)
+_PARTS = " UNION ALL ".join(
+    f"""SELECT doc_id, source, {i} AS rank, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, '{pattern}', 0) AS m,
+    regexp_extract_all(t, '{pattern}', {group}) AS v, list_transform(string_split_regex(t, '{pattern}'), lambda x: len(x)) AS g FROM doc"""
+    for i, (kind, least, group, pattern) in enumerate(_SECRETS)
+)
+_SPAN = "kind || ':' || s || ':' || e"
+
+OP5 = f"""
+WITH doc AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+part AS ({_PARTS}),
+place AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM part),
+begun AS (SELECT *, list_sum(g[1:i]) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS s FROM place WHERE len(v[i]) >= least),
+span AS (SELECT doc_id, source, rank, kind, CAST(s AS BIGINT) AS s, CAST(s + len(m[i]) AS BIGINT) AS e, v[i] AS secret FROM begun),
+held AS (SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n_owners FROM span GROUP BY secret),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg({_SPAN}, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg({_SPAN}, ',' ORDER BY s, rank) AS spans,
+    count(*) FILTER (n_owners >= 3) AS n_copied, count(*) FILTER (n_owners < 3) AS n_live, max(n_owners) AS most_owners
+    FROM span JOIN held USING (secret) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live, coalesce(most_owners, 0) AS most_owners
+FROM doc LEFT JOIN per USING (doc_id)
+"""
+
 OP8 = f"""
 WITH sized AS (SELECT doc_id, source, CAST(len({_SPACE}) AS BIGINT) AS size FROM documents),
 total AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
@@ -81,4 +115,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_decontamination": OP1, "op2_quality_rules": OP2, "op8_mixing": OP8, "op10_repeats": OP10}
+ORACLE_SQL = {"op1_decontamination": OP1, "op2_quality_rules": OP2, "op5_secrets": OP5, "op8_mixing": OP8, "op10_repeats": OP10}
