@@ -1,3 +1,4 @@
+import pickle
 from collections import Counter, defaultdict
 
 import pytest
@@ -255,3 +256,17 @@ def test_gam(spark):
     flat = quality_gam.train(docs, known.limit(0))
     assert {x.score for x in quality_gam.predict(docs, flat).collect()} == {0.5}
     assert quality_gam.predict(data.nothing(spark), model).count() == 0
+
+
+def test_broadcasts_need_no_package(spark, docs, monkeypatch):
+    """What is broadcast is pickled by name: it mustn't name classes that executors lack."""
+    context, sent = spark.sparkContext, []
+    plain = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda value: sent.append(pickle.dumps(value)) or plain(value))
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id bigint, text string")
+    quality_gam.predict(docs, quality_gam.train(docs, labels)).count()
+    language.predict(docs, language.train(docs)).count()
+    licenses.scan(docs).count()
+    decontamination.decontaminate(docs, items).count()
+    assert len(sent) >= 5 and not any(b"assay" in value for value in sent)
