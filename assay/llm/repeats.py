@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -52,15 +54,13 @@ def text_size(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def _numbers(batch_column: pa.Array, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype=kind) for x in batch_column.to_pylist()]
-
-
 class Windows:
     """Windows of one batch, dealt to cells: one packed row for each cell.
 
     Of each window: bits of its hash beside the cell, the row that holds it, its position. Rows
-    are named once for each cell, positions are steps of one byte.
+    are named once for each cell, positions are steps of one byte. Windows whose fate the batch
+    itself tells go in a row without keys, to a cell that only hands them on; of a window that
+    very many rows hold, each batch so sends a few places to the window's cell.
     """
 
     def __init__(self) -> None:
@@ -72,27 +72,66 @@ class Windows:
         self.ids.append(doc)
         self.size += len(at)
 
-    def dealt(self, cells: int, out: dict[str, list] | None = None) -> dict[str, list]:
+    def dealt(self, cells: int, settle: Callable, out: dict[str, list] | None = None) -> dict[str, list]:
+        """Packed rows; settle(windows, key of cell, key, owner, position) tells which windows
+        are to be sent, and which are found already."""
         out = out or {"cell": [], "row": [], "doc_id": [], "lengths": [], "keys": [], "at": []}
         if not self.parts:
             return out
         cell_key, key, owner, at = (np.concatenate(x) for x in zip(*self.parts))
+        names = np.array(self.rows, dtype=np.int64)
+
+        def put(cell: int, owner: np.ndarray, key: np.ndarray, at: np.ndarray) -> None:
+            who, counts = _runs(owner)
+            out["cell"].append(cell)
+            out["row"].append(names[who].tobytes())
+            out["doc_id"].append([self.ids[i] for i in who.tolist()] if len(key) else [])
+            out["lengths"].append(counts.astype("<i4").tobytes())
+            out["keys"].append(key.tobytes())
+            out["at"].append(_steps(at, counts))
+
+        sent, found = settle(self, cell_key, key, owner, at)
+        if found.any():
+            put(cells + int(names[0] % cells), owner[found], key[:0], at[found])
+        cell_key, key, owner, at = cell_key[sent], key[sent], owner[sent], at[sent]
         cell = ((cell_key >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.uint16 if cells < 1 << 16 else np.int64)
         order = np.argsort(cell, kind="stable")
         cell, key, owner, at = cell[order], key[order], owner[order], at[order]
-        names = np.array(self.rows, dtype=np.int64)
         starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         for a, b in zip(starts, np.r_[starts[1:], len(cell)]):
-            who, counts = _runs(owner[a:b])
-            out["cell"].append(int(cell[a]))
-            out["row"].append(names[who].tobytes())
-            out["doc_id"].append([self.ids[i] for i in who.tolist()])
-            out["lengths"].append(counts.astype("<i4").tobytes())
-            out["keys"].append(key[a:b].tobytes())
-            out["at"].append(_steps(at[a:b], counts))
+            put(int(cell[a]), owner[a:b], key[a:b], at[a:b])
         return out
 
 
+def _met_here(windows: Windows, cell_key: np.ndarray, key: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that two rows of the batch hold are found; one place of them is sent, a
+    reference block if any is one. All places of the others are sent."""
+    order = np.argsort(cell_key)
+    _, n = _runs(cell_key[order])
+    first = np.cumsum(n) - n
+    row = np.array(windows.rows, dtype=np.int64)[owner[order]]
+    shared = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
+    found = np.zeros(len(at), dtype=bool)
+    found[order] = np.repeat(shared, n)
+    place = np.where(at[order] % BLOCK == 0, np.arange(len(at)), len(at))
+    block = np.minimum.reduceat(place, first)
+    chosen = np.where(block < len(at), block, first)[shared]
+    sent = ~found
+    sent[order[chosen]] = True
+    return sent, found
+
+
+def _smaller_here(windows: Windows, cell_key: np.ndarray, key: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that a smaller id of the batch holds too are found; only the smallest id's are sent."""
+    order = np.argsort(key)
+    _, n = _runs(key[order])
+    ids = pa.array(windows.ids).to_numpy(zero_copy_only=False)
+    rank = np.unique(ids, return_inverse=True)[1][owner[order]]
+    found = np.zeros(len(at), dtype=bool)
+    found[order] = rank > np.repeat(np.minimum.reduceat(rank, np.cumsum(n) - n), n)
+    return ~found, found
+
+
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of the runs of equal values, and the runs' lengths."""
     starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, dtype=np.int64)
@@ -121,6 +160,13 @@ def _numbers(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype=kind) for x in column.to_pylist()]
 
 
+def _handed_on(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(row, position) of the windows of a cell that came without keys."""
+    counts = _numbers(table["lengths"], "<i4")
+    row = np.repeat(np.concatenate(_numbers(table["row"], "<i8")), np.concatenate(counts))
+    return row, np.concatenate([_positions(s, n) for s, n in zip(table["at"].to_pylist(), counts)])
+
+
 def _packed(row: np.ndarray, at: np.ndarray, groups: int) -> pa.Table:
     """(grp, row, lengths, at): positions by row, packed for each group of rows."""
     group = row % groups
@@ -159,7 +205,8 @@ def anchors(docs: DataFrame, cells: int, groups: int) -> DataFrame:
 
     Each row of docs (row, text) is cut into non-overlapping blocks, the reference; every
     rolling window probes them. Both are one packed list, as a window at a multiple of the
-    block length is a reference block. Each cell holds a bounded share of all windows, by hash.
+    block length is a reference block. Each cell holds a bounded share of all windows, by hash;
+    those that a batch settles by itself don't meet there.
     Windows that agree by chance only add candidates, which extend() doesn't confirm.
     """
 
@@ -170,12 +217,14 @@ def anchors(docs: DataFrame, cells: int, groups: int) -> DataFrame:
             if len(key):
                 windows.add(row, None, key, key.astype(np.uint32), np.arange(len(key)))
             if windows.size > WINDOWS_AT_ONCE:
-                windows, out = Windows(), windows.dealt(cells, out)
-        return windows.dealt(cells, out)
+                windows, out = Windows(), windows.dealt(cells, _met_here, out)
+        return windows.dealt(cells, _met_here, out)
 
     packed = map_batches(docs, probes, "cell int, row binary, lengths binary, keys binary, at binary")
 
     def meet(table: pa.Table) -> pa.Table:
+        if table["cell"][0].as_py() >= cells:
+            return _packed(*_handed_on(table), groups)
         counts = _numbers(table["lengths"], "<i4")
         key = np.concatenate(_numbers(table["keys"], "<u4"))
         row = np.repeat(np.concatenate(_numbers(table["row"], "<i8")), np.concatenate(counts))
@@ -220,11 +269,13 @@ def extend(docs: DataFrame, anchored: DataFrame, cells: int, groups: int, kind:
                 at = windows_at(known[row], len(hashes))
                 if len(at):
                     windows.add(row, doc, rolling(hashes, WINDOW)[at], rolling(hashes, WINDOW, _MIX2)[at], at)
-        return pa.table(windows.dealt(cells), schema=arrow)
+        return pa.table(windows.dealt(cells, _smaller_here), schema=arrow)
 
     packed = docs.groupBy("grp").cogroup(anchored.groupBy("grp")).applyInArrow(candidates, schema)
 
     def confirm(table: pa.Table) -> pa.Table:
+        if table["cell"][0].as_py() >= cells:
+            return _packed(*_handed_on(table), groups)
         counts = _numbers(table["lengths"], "<i4")
         every = np.concatenate(counts)
         key = np.concatenate(_numbers(table["keys"], "<u8"))

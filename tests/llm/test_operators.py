@@ -155,6 +155,19 @@ def test_repeats(spark, docs, pairs):
         result = repeats.remove_repeats(docs, bytes_a_cell=cell, bytes_a_group=group)
         digest = result.withColumn("sha", F.sha2("kept", 256))
         data.same(digest, ["doc_id", "n_words", "n_removed", "sha"], brute.repeats(pairs))
+    # Windows that most rows hold, in batches of many rows, of some and of one.
+    words = [f"w{i}" for i in range(40)]
+    shared = [(i, " ".join([*(["x"] * (i % 9)), *words[i % 5 : 20 + i % 17], f"own{i}", *words[10 : 24 + i % 3]])) for i in range(60)]
+    frame = spark.createDataFrame(shared + shared[:3], "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows, cell, group in ((10_000, 16 << 20, 4 << 20), (7, 700, 900), (1, 300, 10)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            result = repeats.remove_repeats(frame.repartition(2), bytes_a_cell=cell, bytes_a_group=group)
+            digest = result.withColumn("sha", F.sha2("kept", 256))
+            data.same(digest, ["doc_id", "n_words", "n_removed", "sha"], brute.repeats(shared + shared[:3]))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert repeats.remove_repeats(data.nothing(spark)).count() == 0
 
 
