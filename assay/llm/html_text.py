@@ -40,6 +40,9 @@ _ASIDE_NAMES = frozenset(
     " sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 _ARTICLE = frozenset(("article", "main"))
+#: Words by which a name tells what an element has beside it, or whose header it is.
+_BESIDE = frozenset("has with without no".split())
+_OWN = frozenset("article content entry post story".split())
 
 
 def _aside(tag: str, attributes: str, inside: bool) -> bool:
@@ -48,10 +51,16 @@ def _aside(tag: str, attributes: str, inside: bool) -> bool:
         return True
     if tag in ("html", "body", "article", "main", "h1") and not inside or not attributes:
         return False
-    return any(
-        not _ASIDE_NAMES.isdisjoint(re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1]).lower().replace("_", " ").replace("-", " ").strip("\"' ").split())
-        for m in _NAMED.finditer(attributes)
-    )
+    return any(_aside_name(name, inside) for m in _NAMED.finditer(attributes) for name in m[1].strip("\"'").split())
+
+
+def _aside_name(name: str, inside: bool) -> bool:
+    """Whether a class, id or role names something beside the article."""
+    words = set(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower().replace("_", " ").replace("-", " ").split())
+    if words & _BESIDE:
+        return False
+    found = words & _ASIDE_NAMES
+    return bool(found) and not (found == {"header"} and (inside or words & _OWN))
 
 
 class Page:
@@ -138,11 +147,13 @@ class Page:
                 inside += tag in _ARTICLE
                 self._open(tag)
 
-    def main_node(self) -> int:
-        """The node whose subtree is the article."""
+    def main_nodes(self) -> set[int]:
+        """The nodes whose subtrees are the article: the one with the densest sum, and those
+        beside the way to it that are as dense as that way (they, or their children together), or
+        hold the page's heading."""
         count = len(self.tags)
         chars, links, tags, link_tags = ([0] * count for _ in range(4))
-        linked = [False] * count
+        linked, headed = [False] * count, [t == "h1" for t in self.tags]
         for n in range(1, count):
             linked[n] = self.tags[n] == "a" or linked[self.parents[n]]
         for n, text in self.pieces:
@@ -156,37 +167,37 @@ class Page:
             links[p] += links[n]
             tags[p] += tags[n] + 1
             link_tags[p] += link_tags[n] + (self.tags[n] == "a")
+            headed[p] |= headed[n]
         density = [_density(chars[n], tags[n], links[n], link_tags[n], chars[0], links[0]) for n in range(count)]
         sums = [0.0] * count
         for n in range(1, count):
             sums[self.parents[n]] += density[n]
         best = max(range(count), key=lambda n: (sums[n], -n))
-        # The least density on the way from the body to the densest sum is what a parent must reach.
         path = [best]
-        while path[-1]:
+        while path[-1] and self.tags[path[-1]] != "body":
             path.append(self.parents[path[-1]])
-        threshold = min(density[n] for n in path)
         for n in path:
-            if self.tags[n] in _ARTICLE and density[n] >= threshold:
-                return n
-        return best
+            if self.tags[n] in _ARTICLE:
+                return {n}
+        # The least density on the way from the body to the densest sum is what others must reach.
+        threshold = min(density[n] for n in path)
+        above = set(path[1:])
+        beside = (n for n in range(1, count) if self.parents[n] in above and n not in path and chars[n])
+        return {best, *(n for n in beside if headed[n] or max(density[n], sums[n]) >= threshold)}
 
     def text(self) -> str:
         """Blocks of the article, white space in each made one space, joined by newlines."""
-        root = self.main_node()
-        last = root
-        inside = {root}
-        for n in range(root + 1, len(self.tags)):
+        inside = self.main_nodes()
+        for n in range(1, len(self.tags)):
             if self.parents[n] in inside:
                 inside.add(n)
-                last = n
         blocks, parts = [], []
-        for n, text in [*self.pieces, (root, None)]:
+        for n, text in [*self.pieces, (0, None)]:
             if text is None:
                 if parts:
                     blocks.append(" ".join("".join(parts).split()))
                     parts = []
-            elif root <= n <= last and n in inside:
+            elif n in inside:
                 parts.append(html.unescape(text))
         return "\n".join(b for b in blocks if b)
 
