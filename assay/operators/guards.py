@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assay.config import KEY_LENGTH
 from assay.functions import clean
 from assay.functions.names import is_currency_column
+from assay.operators.profile import with_examples
 from assay.operators.transform import CLEANED, target_columns
 from assay.plans.contract import Contract, TableSpec
 from assay.types import LOGICAL
@@ -114,8 +115,8 @@ def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame],
             parts.append(_fixed(spark, table.name, c.name, "DATATYPE_VALIDATION", example=df.schema[c.name].dataType.simpleString()))
         if is_currency_column(c.name):
             wrong = F.col(c.name).isNotNull() & ~clean.is_currency_code(F.col(c.name))
-            bad = df.where(wrong).agg(F.count("*").alias("n"), clean.examples(F.col(c.name), 5).alias("e"))
-            parts.append(_issue(bad, table.name, c.name, "INVALID_CURRENCY_CODE", example="e"))
+            bad = with_examples(df.where(wrong), [], F.col(c.name), F.lit(1), 5)
+            parts.append(_issue(bad, table.name, c.name, "INVALID_CURRENCY_CODE", example="example"))
     required = [c.name for c in table.columns if not c.nullable and c.name in have]
     if required:
         nulls = nullability(df, required)
@@ -133,8 +134,8 @@ def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame],
         label = "+".join(key)
         parts.append(_issue(df.where(absent).agg(F.count("*").alias("n")), table.name, label, "PK_NULL"))
         groups = df.where(~absent).groupBy(*key).agg(F.count("*").alias("c")).where("c > 1")
-        twice = groups.agg(F.sum("c").alias("n"), clean.examples(F.concat_ws("+", *key), 5).alias("e"))
-        parts.append(_issue(twice, table.name, label, "PK_DUPLICATE", example="e"))
+        twice = with_examples(groups, [], F.concat_ws("+", *key), F.col("c"), 5)
+        parts.append(_issue(twice, table.name, label, "PK_DUPLICATE", example="example"))
     for fk in table.foreign_keys:
         parent = contract.table(fk.parent_table)
         frame = typed.get(parent.name) if parent else None
@@ -144,8 +145,8 @@ def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame],
         elif not column or column.name not in frame.columns or fk.column not in have:
             parts.append(_fixed(spark, table.name, fk.column, "FK_COLUMN_MISSING", example=f"{fk.parent_table}.{fk.parent_column}"))
         else:
-            lost = orphans(df, fk.column, frame, column.name).agg(F.count("*").alias("n"), clean.examples(F.col(fk.column).cast("string"), 5).alias("e"))
-            parts.append(_issue(lost, table.name, fk.column, "FK_ORPHAN", example="e"))
+            lost = with_examples(orphans(df, fk.column, frame, column.name), [], F.col(fk.column).cast("string"), F.lit(1), 5)
+            parts.append(_issue(lost, table.name, fk.column, "FK_ORPHAN", example="example"))
     parts.append(duplicate_policy(df, table))
     out = parts[0]
     for part in parts[1:]:

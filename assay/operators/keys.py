@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions import clean
@@ -86,9 +88,13 @@ def key_quality(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def duplicate_key_rows(df: DataFrame, key: list[str]) -> DataFrame:
-    """All rows whose key occurs more than once, with the number of its rows."""
-    groups = F.count("*").over(Window.partitionBy(*key))
-    return df.withColumn("key_rows", groups).where("key_rows > 1")
+    """All rows whose key occurs more than once, with the number of its rows; nulls are equal.
+
+    Keys are counted first, so rows of one key needn't meet in one task.
+    """
+    groups = df.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(F.count("*").alias("key_rows")).where("key_rows > 1")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key])
+    return df.join(groups, same).drop(*[f"__{k}" for k in key])
 
 
 def match_rate(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.functions import clean
@@ -38,6 +38,25 @@ def _rows(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
 
 
+def with_examples(df: DataFrame, keys: list[str], value: Column, n: Column, most: int) -> DataFrame:
+    """(keys, n, example): the sum of n, and the first `most` distinct values in order, joined.
+
+    However many values there are, only those first ones of each group are gathered.
+    """
+    counted = df.groupBy(*keys, value.alias("__value")).agg(F.sum(n).alias("n"))
+    totals = counted.groupBy(*keys).agg(F.sum("n").alias("n"), F.lit(None).cast("string").alias("example"))
+    known = counted.where("__value IS NOT NULL")
+    if keys:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("__value"))
+        known = known.withColumn("__place", place).where(F.col("__place") <= most)
+    else:
+        known = known.orderBy("__value").limit(most)
+    shown = known.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("n"), clean.examples(F.col("__value"), most).alias("example"))
+    return totals.unionByName(shown).groupBy(*keys).agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n"), F.coalesce(F.max("example"), F.lit("")).alias("example")
+    )
+
+
 def profile_table(name: str, df: DataFrame) -> DataFrame:
     """One row: rows, columns, null cells, and rows that have an exact copy."""
     nulls = sum((F.col(f"`{c}`").isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
@@ -151,7 +170,7 @@ def datatype_issues(counts: DataFrame, types: dict[str, str]) -> DataFrame:
         if datatype != "string":
             bad = F.when(F.col("column_name") == name, clean.to_logical(value, datatype).isNull()).otherwise(bad)
     wrong = counts.where(~_missing()).where(bad)
-    return wrong.groupBy("column_name").agg(F.sum("n").alias("invalid_count"), clean.examples(value, 10).alias("example"))
+    return with_examples(wrong, ["column_name"], value, F.col("n"), 10).withColumnRenamed("n", "invalid_count")
 
 
 def all_issues(name: str, df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:

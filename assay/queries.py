@@ -276,7 +276,7 @@ def currency_alias(spark, sf_dir):
 def currency_validity(spark, sf_dir):
     code = _orders(spark, sf_dir).select(clean.currency_code(F.col("currency")).alias("code"))
     bad = F.col("code").isNotNull() & ~clean.is_currency_code(F.col("code"))
-    return code.agg(F.count_if(bad).alias("invalid_rows"), clean.examples(F.when(bad, F.col("code")), 5).alias("example"))
+    return profile.with_examples(code.where(bad), [], F.col("code"), F.lit(1), 5).withColumnRenamed("n", "invalid_rows")
 
 
 @query(f"SELECT order_id, {_number('price')} AS price FROM {_ORDERS} o")

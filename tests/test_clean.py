@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay.functions import clean, names
+from assay.operators import keys, profile
 from assay.types import logical_type
 
 
@@ -48,3 +49,18 @@ def test_names():
     assert names.table_name("orders_raw") == "orders" and logical_type(" Money ") == "decimal"
     with pytest.raises(ValueError):
         logical_type("blob")
+
+
+def test_examples_are_the_first_values(spark):
+    rows = [("a", "x"), ("a", "y"), ("a", "x"), ("a", None), ("a", "w"), ("b", None)]
+    frame = spark.createDataFrame(rows, "k string, v string")
+    found = profile.with_examples(frame, ["k"], F.col("v"), F.lit(1), 2)
+    assert {tuple(r) for r in found.collect()} == {("a", 5, "w | x"), ("b", 1, "")}
+    whole = profile.with_examples(frame, [], F.col("v"), F.lit(1), 2)
+    assert [tuple(r) for r in whole.collect()] == [(6, "w | x")]
+    assert [tuple(r) for r in profile.with_examples(frame.limit(0), [], F.col("v"), F.lit(1), 2).collect()] == [(0, "")]
+
+
+def test_duplicate_key_rows(spark):
+    frame = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (None, "a", 3), (None, "a", 4), (2, "a", 5)], "k int, l string, v int")
+    assert sorted((r.v, r.key_rows) for r in keys.duplicate_key_rows(frame, ["k", "l"]).collect()) == [(1, 2), (2, 2), (3, 2), (4, 2)]
