@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,12 +71,14 @@ class Page:
         self.tags, self.parents = ["#page"], [0]
         self.pieces: list[tuple[int, str | None]] = []
         self._stack = [0]
+        # How many of each tag are open, so that a search of the stack finds what it looks for.
+        self._count: Counter[str] = Counter()
         self._read(source)
 
     def _open(self, tag: str) -> None:
-        if tag in _IN_PARAGRAPH and any(self.tags[n] == "p" for n in self._stack):
+        if tag in _IN_PARAGRAPH and self._count["p"]:
             self._close("p")
-        if tag in _ENDS:
+        if tag in _ENDS and any(self._count[t] for t in _ENDS[tag][0]):
             ended, limits = _ENDS[tag]
             for n in reversed(self._stack):
                 if self.tags[n] in limits:
@@ -89,12 +92,16 @@ class Page:
             self.pieces.append((self._stack[-1], None))
         if tag not in _VOID:
             self._stack.append(len(self.tags) - 1)
+            self._count[tag] += 1
 
     def _close(self, tag: str) -> None:
+        if not self._count[tag]:
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             if self.tags[self._stack[i]] == tag:
                 if any(self.tags[n] in _BLOCK for n in self._stack[i:]):
                     self.pieces.append((self._stack[i], None))
+                self._count.subtract(self.tags[n] for n in self._stack[i:])
                 del self._stack[i:]
                 return
             if tag not in _BLOCK and self.tags[self._stack[i]] in ("article", "body", "main", "td"):
@@ -107,13 +114,17 @@ class Page:
     def _read(self, source: str) -> None:
         at, skipped, depth = 0, "", 0
         inside = 0
+        # Nothing after the last `>` is a tag, so no search need look for its end there.
+        tagged = source.rfind(">") + 1
         while True:
-            m = _TOKEN.search(source, at)
+            m = _TOKEN.search(source, at, tagged)
             if not skipped:
-                self._text(source[at : m.start() if m else len(source)])
+                self._text(source[at : m.start()] if m else source[at:].partition("<!--")[0])
             if not m:
                 return
             at = m.end()
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                return
             closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
             if not tag:
                 if not skipped and m[0].startswith("<![CDATA["):

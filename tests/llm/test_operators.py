@@ -241,6 +241,9 @@ def test_html(spark):
     sections = f"<section><h2>One</h2><p>{part}<p>{part}</section><section><h2>Two</h2><p>{part}</section>"
     page = f"<body><div>Hi</div><h1>Top</h1><div class='content has-sidebar'>{sections}</div><div class='user-comments'><p>{part * 9}</div>"
     assert html_text.main_text(page) == "\n".join(["Top", "One", part[:-1], part[:-1], "Two", part[:-1]])
+    # Broken markup that a search might read again and again.
+    for broken in ("<a <b ", '<a x="', "<!--", "</span><div>", "<p><b>"):
+        assert html_text.main_text(f"<p>{part}" + broken * 20_000).startswith(part[:-1])
     assert html_text.main_text(f"<div class='post-header'><h1>Top</h1></div><div><p>{part}<p>{part}</div>").startswith("Top\n")
     rows = [(1, "u", PAGE, "t"), (2, None, None, "t"), (3, "u", "", None), (None, "u", "<p>x</p>", None), (1, "u", PAGE, "t"), (4, "u", "<b" * 500 + "<p>é" * 200, "t")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
