@@ -29,23 +29,26 @@ def _lengths(strings: Column) -> Column:
     return F.transform(strings, F.length)
 
 
-def _total(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
-
-
 def _kind_spans(rank: int, kind: str) -> Column:
     """Spans of one kind from its columns of matches, secrets and gap lengths; null without a match."""
     matches, secret, gaps = (F.col(f"__{x}_{kind}") for x in "mvg")
     least = KINDS[kind][2]
-
-    def span(i: Column) -> Column:
-        start = _total(F.slice(gaps, F.lit(1), i + 1)) + _total(_lengths(F.slice(matches, F.lit(1), i)))
-        return F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-            (start + F.length(F.get(matches, i))).alias("end"), F.get(secret, i).alias("value"),
-        )
-
-    each = F.transform(F.sequence(F.lit(0), F.size(matches) - 1), span)
+    pieces = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), _lengths(matches).alias("size"))
+    starts = F.aggregate(
+        pieces,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+        lambda done, p: F.struct(
+            (done["at"] + p["gap"] + p["size"]).alias("at"), F.concat(done["starts"], F.array(done["at"] + p["gap"])).alias("starts")
+        ),
+        lambda done: done["starts"],
+    )
+    each = F.transform(
+        F.arrays_zip(starts.alias("start"), _lengths(matches).alias("size"), secret.alias("value")),
+        lambda s: F.struct(
+            s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+            (s["start"] + s["size"]).alias("end"), s["value"].alias("value"),
+        ),
+    )
     return F.when(F.size(matches) > 0, F.filter(each, lambda s: F.length(s["value"]) >= least))
 
 
