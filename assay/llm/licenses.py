@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from assay.llm.common import identified, map_batches, plain_words, text_bytes, values
@@ -122,10 +123,11 @@ def base_places(plain: bytes) -> list[tuple[int, str]]:
     found = []
     for phrase, label in BASE:
         needle = f" {phrase} ".encode()
-        at = plain.find(needle)
+        before, start, at = 0, 0, plain.find(needle)
         while at >= 0:
-            found.append((plain.count(b" ", 0, at), label))
-            at = plain.find(needle, at + 1)
+            before += plain.count(b" ", start, at)
+            found.append((before, label))
+            start, at = at, plain.find(needle, at + 1)
     return found
 
 
@@ -169,6 +171,8 @@ def judge(text: bytes | None, ordered: list[Rule]) -> dict:
     found = signatures(plain, ordered)
     own = {label for _, label in base}
     starts = [start for start, _ in base]
+    spaces = np.flatnonzero(np.frombuffer(plain, dtype=np.uint8) == 32) if found else np.zeros(0, dtype=np.int64)
+    first, end = (np.searchsorted(spaces, [h[i] for h in found]).tolist() for i in (0, 1))
     return {
         "n_words": len(words),
         "n_base": len(base),
@@ -178,8 +182,8 @@ def judge(text: bytes | None, ordered: list[Rule]) -> dict:
         "labels": ",".join(sorted(own | {r.label for _, _, r in found})),
         "score": max([0.5 * bool(base), *(r.score for _, _, r in found)]),
         "detections": [
-            {"label": r.label, "start": plain.count(b" ", 0, a) - 1, "end": plain.count(b" ", 0, b), "score": r.score}
-            for a, b, r in found
+            {"label": r.label, "start": a - 1, "end": b, "score": r.score}
+            for a, b, (_, _, r) in zip(first, end, found)
         ],
     }
 
