@@ -5,7 +5,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import defaultdict
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +30,15 @@ _BLOCK = frozenset(
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "option": ({"option"}, {"select"}),
+    "option": ({"option"}, {"select"}), "button": ({"button"}, {"object", "table", "td", "template", "th"}),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot"}, {"table"})),
 }
 _IN_PARAGRAPH = _BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
+#: Start tags that don't end an open head.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Elements that an end tag inside doesn't reach beyond, and the tags that only a table inside keeps back.
+_SCOPE = frozenset("button caption object table td template th".split())
+_TABLE_PARTS = frozenset("caption table tbody td tfoot th thead tr".split())
 #: Elements, and words of class, id and role, that aren't the article.
 _ASIDE = frozenset("head nav footer aside form script style noscript template iframe object svg button select textarea menu dialog".split())
 _ASIDE_NAMES = frozenset(
@@ -70,55 +77,93 @@ class Page:
     def __init__(self, source: str) -> None:
         self.tags, self.parents = ["#page"], [0]
         self.pieces: list[tuple[int, str | None]] = []
-        self._stack = [0]
-        # How many of each tag are open, so that a search of the stack finds what it looks for.
-        self._count: Counter[str] = Counter()
+        # Open elements: the node that each one's text belongs to, its tag, and the places of each tag.
+        self._stack, self._names = [0], ["#page"]
+        self._at: defaultdict[str, list[int]] = defaultdict(list)
+        # Place of the outermost open element that isn't the article; what it holds makes no nodes. 0: none.
+        self._skipped = 0
         self._read(source)
 
-    def _open(self, tag: str) -> None:
-        if tag in _IN_PARAGRAPH and self._count["p"]:
-            self._close("p")
-        if tag in _ENDS and any(self._count[t] for t in _ENDS[tag][0]):
+    def _last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element of these tags; 0 without any."""
+        return max((self._at[t][-1] for t in tags if self._at[t]), default=0)
+
+    def _push(self, node: int, tag: str) -> None:
+        self._at[tag].append(len(self._stack))
+        self._stack.append(node)
+        self._names.append(tag)
+
+    def _cut(self, i: int) -> None:
+        """End the element at place i and all in it."""
+        if any(n in _BLOCK for n in self._names[i : self._skipped or None]):
+            self.pieces.append((self._stack[i], None))
+        for n in self._names[i:]:
+            self._at[n].pop()
+        del self._stack[i:], self._names[i:]
+        if i <= self._skipped:
+            self._skipped = 0
+
+    def _end_implied(self, tag: str) -> None:
+        """End what a start tag ends."""
+        if self._names[self._skipped] == "head" and tag not in _IN_HEAD:
+            self._cut(self._skipped)
+        if tag in _BLOCK and self._at["svg"] and not self._at["foreignobject"]:
+            self._cut(self._at["svg"][-1])
+        if tag in _IN_PARAGRAPH and self._at["p"]:
+            i, barrier = self._at["p"][-1], self._last(_SCOPE) if self._skipped else 0
+            if barrier < max(i, self._skipped):
+                self._cut(i)
+        if tag in _ENDS:
             ended, limits = _ENDS[tag]
-            for n in reversed(self._stack):
-                if self.tags[n] in limits:
-                    break
-                if self.tags[n] in ended:
-                    self._close(self.tags[n])
-                    break
-        self.parents.append(self._stack[-1])
-        self.tags.append(tag)
+            i = self._last(ended)
+            if i > self._last(limits):
+                self._cut(i)
+
+    def _open(self, tag: str, attributes: str) -> None:
+        self._end_implied(tag)
+        if self._skipped:
+            if tag not in _VOID and not (self._at["svg"] and attributes.endswith("/")):
+                self._push(self._stack[-1], tag)
+            return
+        aside = _aside(tag, attributes, self._last(_ARTICLE) > 0)
         if tag in _BLOCK:
             self.pieces.append((self._stack[-1], None))
+        if aside:
+            if tag not in _VOID and not attributes.endswith("/"):
+                self._skipped = len(self._stack)
+                self._push(self._stack[-1], tag)
+            return
+        self.parents.append(self._stack[-1])
+        self.tags.append(tag)
         if tag not in _VOID:
-            self._stack.append(len(self.tags) - 1)
-            self._count[tag] += 1
+            self._push(len(self.tags) - 1, tag)
 
     def _close(self, tag: str) -> None:
-        if not self._count[tag]:
+        i = self._last((tag,))
+        if tag in ("body", "html"):
+            if i or self._skipped and self._names[self._skipped] != "head":
+                self._cut(i or self._skipped)
             return
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self.tags[self._stack[i]] == tag:
-                if any(self.tags[n] in _BLOCK for n in self._stack[i:]):
-                    self.pieces.append((self._stack[i], None))
-                self._count.subtract(self.tags[n] for n in self._stack[i:])
-                del self._stack[i:]
-                return
-            if tag not in _BLOCK and self.tags[self._stack[i]] in ("article", "body", "main", "td"):
+        if not i or tag not in _BLOCK and self._last(("article", "body", "main", "td")) > i:
+            return
+        if i <= self._skipped:
+            # From within a skipped element, the rules by which an end tag is ignored count.
+            barrier = self._last(("table", "template") if tag in _TABLE_PARTS else _SCOPE if tag in _BLOCK else _BLOCK | _SCOPE)
+            if barrier > i and barrier >= self._skipped:
                 return
+        self._cut(i)
 
     def _text(self, text: str) -> None:
         if text:
             self.pieces.append((self._stack[-1], text))
 
     def _read(self, source: str) -> None:
-        at, skipped, depth = 0, "", 0
-        inside = 0
+        at = 0
         # Nothing after the last `>` is a tag, so no search need look for its end there.
         tagged = source.rfind(">") + 1
         while True:
             m = _TOKEN.search(source, at, tagged)
-            if not skipped:
+            if not self._skipped:
                 self._text(source[at : m.start()] if m else source[at:].partition("<!--")[0])
             if not m:
                 return
@@ -127,36 +172,17 @@ class Page:
                 return
             closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
             if not tag:
-                if not skipped and m[0].startswith("<![CDATA["):
+                if not self._skipped and m[0].startswith("<![CDATA["):
                     self._text(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
                 continue
             tag = tag.lower()
             if not closing and tag in _RAW:
                 end = re.compile(f"</{tag}", re.I).search(source, at)
                 at = end.start() if end else len(source)
-            if skipped:
-                # Within a skipped element only its own kind of tag counts.
-                if tag == skipped:
-                    depth += -1 if closing else 1
-                    if not depth:
-                        skipped = ""
-                elif closing and tag in ("body", "html") and skipped not in ("head",):
-                    skipped, depth = "", 0
-                elif skipped == "head" and tag == "body":
-                    skipped, depth = "", 0
-                    self._open(tag)
-                continue
             if closing:
-                inside = max(0, inside - (tag in _ARTICLE))
                 self._close(tag)
-            elif _aside(tag, attributes, inside > 0):
-                if tag in _BLOCK:
-                    self.pieces.append((self._stack[-1], None))
-                if tag not in _VOID and not attributes.endswith("/"):
-                    skipped, depth = tag, 1
             else:
-                inside += tag in _ARTICLE
-                self._open(tag)
+                self._open(tag, attributes)
 
     def main_nodes(self) -> set[int]:
         """The nodes whose subtrees are the article: the one with the densest sum, and those
