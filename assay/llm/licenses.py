@@ -13,11 +13,11 @@ from assay.llm.common import identified, map_batches, plain_words, text_bytes, v
 #: Phrases that count wherever their words stand, and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: label: (keyword that a text must hold, names as regexes over plain words).
-FAMILIES: dict[str, tuple[str, str]] = {
+#: label: (keywords, one for each alternative, of which a text must hold one; names as regexes over plain words).
+FAMILIES: dict[str, tuple[str | tuple[str, ...], str]] = {
     "apache-2.0": ("apache", r"apache (?:software )?licen[cs]e (?:version |v)?2(?: 0)?"),
     "apache": ("apache", r"apache(?: software)? licen[cs]e"),
-    "mit": ("mit", r"(?:mit|expat) licen[cs]e"),
+    "mit": (("mit", "expat"), r"(?:mit|expat) licen[cs]e"),
     "bsd-2-clause": ("bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?"),
     "bsd-3-clause": ("bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?"),
     "bsd": ("bsd", r"bsd(?: style)? licen[cs]e"),
@@ -35,9 +35,9 @@ FAMILIES: dict[str, tuple[str, str]] = {
     "psf": ("python", r"python software foundation licen[cs]e"),
     "gpl-2.0": ("general", r"gnu general public licen[cs]e (?:version |v)?2(?: 0)?"),
     "gpl-3.0": ("general", r"gnu general public licen[cs]e (?:version |v)?3(?: 0)?"),
-    "lgpl-2.1": ("lesser", r"gnu (?:lesser|library) general public licen[cs]e (?:version |v)?2(?: 1| 0)?"),
+    "lgpl-2.1": (("lesser", "library"), r"gnu (?:lesser|library) general public licen[cs]e (?:version |v)?2(?: 1| 0)?"),
     "lgpl-3.0": ("lesser", r"gnu lesser general public licen[cs]e (?:version |v)?3(?: 0)?"),
-    "lgpl": ("lesser", r"(?:gnu )?(?:lesser|library) general public licen[cs]e"),
+    "lgpl": (("lesser", "library"), r"(?:gnu )?(?:lesser|library) general public licen[cs]e"),
     "agpl-3.0": ("affero", r"gnu affero general public licen[cs]e (?:version |v)?3(?: 0)?"),
     "agpl": ("affero", r"(?:gnu )?affero general public licen[cs]e"),
     "gfdl": ("documentation", r"gnu free documentation licen[cs]e"),
@@ -55,7 +55,7 @@ FAMILIES: dict[str, tuple[str, str]] = {
     "cc-by-nc": ("creative", r"creative commons attribution non ?commercial(?: licen[cs]e)?"),
     "cc-by-nd": ("creative", r"creative commons attribution no derivatives(?: licen[cs]e)?"),
     "ofl-1.1": ("font", r"(?:sil )?open font licen[cs]e"),
-    "openrail": ("rail", r"(?:open ?rail|responsible ai licen[cs]e)(?: m)?"),
+    "openrail": (("rail", "responsible"), r"(?:open ?rail|responsible ai licen[cs]e)(?: m)?"),
     "proprietary": ("proprietary", r"proprietary(?: software)? licen[cs]e"),
     "ms-pl": ("microsoft", r"microsoft public licen[cs]e"),
     "odbl": ("database", r"open (?:data commons )?(?:open )?database licen[cs]e"),
@@ -73,11 +73,11 @@ FORMS: tuple[tuple[str, float], ...] = (
     (r"{name}", 0.5),
 )
 #: Whole texts of grants and notices that name no license.
-NOTICES: tuple[tuple[str, str, str, float], ...] = (
+NOTICES: tuple[tuple[str, str | tuple[str, ...], str, float], ...] = (
     ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
     ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose", 0.95),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification", 0.9),
-    ("copyright", "copyright", r"(?:copyright|©) (?:c )?(?:19|20)[0-9]{2}", 0.4),
+    ("copyright", ("copyright", "©"), r"(?:copyright|©) (?:c )?(?:19|20)[0-9]{2}", 0.4),
     ("reserved", "rights", r"(?:all|some|no) rights reserved", 0.4),
     ("public-domain", "domain", r"dedicated to the public domain", 0.8),
     ("no-derivatives", "derivative", r"no derivative works", 0.4),
@@ -88,7 +88,7 @@ NOTICES: tuple[tuple[str, str, str, float], ...] = (
 class Rule(NamedTuple):
     priority: int
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern[bytes]
     score: float
 
@@ -97,24 +97,25 @@ def rules() -> list[Rule]:
     """All signature rules, the first in order winning: each family in each form, then notices."""
     found = []
 
-    def add(label: str, keyword: str, pattern: str, score: float) -> None:
-        found.append(Rule(len(found), label, keyword.encode(), re.compile(rb" (?=(" + pattern.encode() + rb") )"), score))
+    def add(label: str, keywords: str | tuple[str, ...], pattern: str, score: float) -> None:
+        each = (keywords,) if isinstance(keywords, str) else keywords
+        found.append(Rule(len(found), label, tuple(k.encode() for k in each), re.compile(rb" (?=(" + pattern.encode() + rb") )"), score))
 
     for form, score in FORMS:
-        for label, (keyword, name) in FAMILIES.items():
+        for label, (keywords, name) in FAMILIES.items():
             if "{spdx}" in form:
                 spdx = re.sub(r"[^a-z0-9]+", " ", label).strip()
                 add(label, "spdx", form.format(spdx=spdx) + r"(?: only| or later)?", score)
             else:
-                add(label, keyword, form.format(name=f"(?:{name})"), score)
-    for label, keyword, pattern, score in NOTICES:
-        add(label, keyword, pattern, score)
+                add(label, keywords, form.format(name=f"(?:{name})"), score)
+    for label, keywords, pattern, score in NOTICES:
+        add(label, keywords, pattern, score)
     return found
 
 
 #: No rule matches a text without one of these.
 TRIGGERS = tuple(
-    x.encode() for x in ("licen", "spdx", "cc", "rights", "copyright", "©", "public domain", "permission", "redistribution", "derivative", "commercial", "wtfpl", "bsd", "rail")
+    x.encode() for x in ("licen", "spdx", "cc", "rights", "copyright", "©", "public domain", "permission", "redistribution", "derivative", "commercial", "wtfpl", "bsd", "rail", "creative commons")
 )
 
 
@@ -142,7 +143,7 @@ def signatures(plain: bytes, ordered: list[Rule]) -> list[tuple[int, int, Rule]]
     hits = [
         (m.start(1), m.end(1), rule)
         for rule in ordered
-        if rule.keyword in plain
+        if any(k in plain for k in rule.keywords)
         for m in rule.pattern.finditer(plain)
     ]
     hits.sort(key=lambda h: (h[0], -h[1], h[2].priority))
