@@ -95,10 +95,49 @@ def crc_mod(id_col: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % by
 
 
+def row_hash(*columns: str | Column) -> Column:
+    """128 bits that tell rows apart by these columns, as 16 bytes."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *columns)), 16, "0") for seed in (1, 2)]))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Words of 64 bits in the bitmap that perhaps_among() broadcasts: 4 MB of numbers however many keys there are.
+BITMAP_WORDS = 1 << 18
+
+
+def perhaps_among(df: DataFrame, column: str, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """df with a boolean column `name`: false if the column's value surely isn't among the keys.
+
+    The keys become a bitmap of fixed size, so it can be broadcast; the more keys, the more
+    values are true for nothing. It only spares shuffling rows that a join would drop.
+    """
+
+    word, bits = unused(df, "__word"), unused(df, "__bits")
+
+    def word_of(c: str) -> Column:
+        return F.pmod(F.shiftrightunsigned(F.xxhash64(f"`{c}`"), 6), F.lit(BITMAP_WORDS))
+
+    def bit_of(c: str) -> Column:
+        return F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(`{c}`), 64) AS INT))")
+
+    bitmap = keys.groupBy(word_of(key).alias(word)).agg(F.bit_or(bit_of(key)).alias(bits))
+    met = (F.col(word) == word_of(column)) & (F.col(bits).bitwiseAND(bit_of(column)) != 0)
+    return df.join(F.broadcast(bitmap), met, "left").select(*[F.col(f"`{c}`") for c in df.columns], F.col(bits).isNotNull().alias(name))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a local folder of our own only where it is unset."""
+    """The cluster's spark.checkpoint.dir; a local folder of our own only where it is unset on one machine."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not given:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
         given = "file://" + tempfile.mkdtemp(prefix="assay-")
         spark.conf.set("spark.checkpoint.dir", given)
     return given.rstrip("/")
