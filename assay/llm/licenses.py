@@ -3,88 +3,18 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
 
+from assay.llm.license_rules import parse
 from assay.llm.common import identified, map_batches, plain_words, text_bytes, values
 
 #: Phrases that count wherever their words stand, and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: label: (keywords, one for each alternative, of which a text must hold one; names as regexes over plain words).
-FAMILIES: dict[str, tuple[str | tuple[str, ...], str]] = {
-    "apache-2.0": ("apache", r"apache (?:software )?licen[cs]e (?:version |v)?2(?: 0)?"),
-    "apache": ("apache", r"apache(?: software)? licen[cs]e"),
-    "mit": (("mit", "expat"), r"(?:mit|expat) licen[cs]e"),
-    "bsd-2-clause": ("bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?"),
-    "bsd-3-clause": ("bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?"),
-    "bsd": ("bsd", r"bsd(?: style)? licen[cs]e"),
-    "isc": ("isc", r"isc licen[cs]e"),
-    "zlib": ("zlib", r"zlib(?: libpng)? licen[cs]e"),
-    "boost-1.0": ("boost", r"boost software licen[cs]e"),
-    "mpl-2.0": ("mozilla", r"mozilla public licen[cs]e (?:version |v)?2(?: 0)?"),
-    "mpl": ("mozilla", r"mozilla public licen[cs]e"),
-    "epl": ("eclipse", r"eclipse public licen[cs]e"),
-    "eupl": ("european", r"european union public licen[cs]e"),
-    "cddl": ("common", r"common development and distribution licen[cs]e"),
-    "artistic": ("artistic", r"artistic licen[cs]e"),
-    "unlicense": ("unlicense", r"(?:the )?unlicense"),
-    "wtfpl": ("wtfpl", r"wtfpl"),
-    "psf": ("python", r"python software foundation licen[cs]e"),
-    "gpl-2.0": ("general", r"gnu general public licen[cs]e (?:version |v)?2(?: 0)?"),
-    "gpl-3.0": ("general", r"gnu general public licen[cs]e (?:version |v)?3(?: 0)?"),
-    "lgpl-2.1": (("lesser", "library"), r"gnu (?:lesser|library) general public licen[cs]e (?:version |v)?2(?: 1| 0)?"),
-    "lgpl-3.0": ("lesser", r"gnu lesser general public licen[cs]e (?:version |v)?3(?: 0)?"),
-    "lgpl": (("lesser", "library"), r"(?:gnu )?(?:lesser|library) general public licen[cs]e"),
-    "agpl-3.0": ("affero", r"gnu affero general public licen[cs]e (?:version |v)?3(?: 0)?"),
-    "agpl": ("affero", r"(?:gnu )?affero general public licen[cs]e"),
-    "gfdl": ("documentation", r"gnu free documentation licen[cs]e"),
-    "cc0-1.0": ("cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    "cc-by-4.0": ("cc", r"cc by 4 0"),
-    "cc-by-3.0": ("cc", r"cc by 3 0"),
-    "cc-by-sa-4.0": ("cc", r"cc by sa 4 0"),
-    "cc-by-sa-3.0": ("cc", r"cc by sa 3 0"),
-    "cc-by-nc-4.0": ("cc", r"cc by nc 4 0"),
-    "cc-by-nc-3.0": ("cc", r"cc by nc 3 0"),
-    "cc-by-nd-4.0": ("cc", r"cc by nd 4 0"),
-    "cc-by-nc-sa-4.0": ("cc", r"cc by nc sa 4 0"),
-    "cc-by-nc-nd-4.0": ("cc", r"cc by nc nd 4 0"),
-    "cc-by-sa": ("creative", r"creative commons attribution share ?alike(?: licen[cs]e)?"),
-    "cc-by-nc": ("creative", r"creative commons attribution non ?commercial(?: licen[cs]e)?"),
-    "cc-by-nd": ("creative", r"creative commons attribution no derivatives(?: licen[cs]e)?"),
-    "ofl-1.1": ("font", r"(?:sil )?open font licen[cs]e"),
-    "openrail": (("rail", "responsible"), r"(?:open ?rail|responsible ai licen[cs]e)(?: m)?"),
-    "proprietary": ("proprietary", r"proprietary(?: software)? licen[cs]e"),
-    "ms-pl": ("microsoft", r"microsoft public licen[cs]e"),
-    "odbl": ("database", r"open (?:data commons )?(?:open )?database licen[cs]e"),
-    "public-domain": ("public", r"public domain"),
-    "vim": ("vim", r"vim licen[cs]e"),
-    "upl": ("universal", r"universal permissive licen[cs]e"),
-}
-#: How a license is named, the surest first: form, confidence.
-FORMS: tuple[tuple[str, float], ...] = (
-    (r"spdx license identifier {spdx}", 1.0),
-    (r"(?:dual |re ?|sub)?licen[cs]ed (?:to you )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}", 0.95),
-    (r"(?:released|distributed|published|available|provided|covered) (?:only )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}", 0.9),
-    (r"(?:subject to|governed by|according to|in accordance with) (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}", 0.8),
-    (r"(?:see|read|a copy of|copy of) (?:the )?{name}", 0.6),
-    (r"{name}", 0.5),
-)
-#: Whole texts of grants and notices that name no license.
-NOTICES: tuple[tuple[str, str | tuple[str, ...], str, float], ...] = (
-    ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
-    ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose", 0.95),
-    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification", 0.9),
-    ("copyright", ("copyright", "©"), r"(?:copyright|©) (?:c )?(?:19|20)[0-9]{2}", 0.4),
-    ("reserved", "rights", r"(?:all|some|no) rights reserved", 0.4),
-    ("public-domain", "domain", r"dedicated to the public domain", 0.8),
-    ("no-derivatives", "derivative", r"no derivative works", 0.4),
-    ("non-commercial", "commercial", r"(?:for|only for) non ?commercial (?:use|purposes)", 0.4),
-)
-
-
 class Rule(NamedTuple):
     priority: int
     label: str
@@ -94,29 +24,11 @@ class Rule(NamedTuple):
 
 
 def rules() -> list[Rule]:
-    """All signature rules, the first in order winning: each family in each form, then notices."""
-    found = []
-
-    def add(label: str, keywords: str | tuple[str, ...], pattern: str, score: float) -> None:
-        each = (keywords,) if isinstance(keywords, str) else keywords
-        found.append(Rule(len(found), label, tuple(k.encode() for k in each), re.compile(rb" (?=(" + pattern.encode() + rb") )"), score))
-
-    for form, score in FORMS:
-        for label, (keywords, name) in FAMILIES.items():
-            if "{spdx}" in form:
-                spdx = re.sub(r"[^a-z0-9]+", " ", label).strip()
-                add(label, "spdx", form.format(spdx=spdx) + r"(?: only| or later)?", score)
-            else:
-                add(label, keywords, form.format(name=f"(?:{name})"), score)
-    for label, keywords, pattern, score in NOTICES:
-        add(label, keywords, pattern, score)
-    return found
-
-
-#: No rule matches a text without one of these.
-TRIGGERS = tuple(
-    x.encode() for x in ("licen", "spdx", "cc", "rights", "copyright", "©", "public domain", "permission", "redistribution", "derivative", "commercial", "wtfpl", "bsd", "rail", "creative commons")
-)
+    """All signature rules, the first in order winning."""
+    return [
+        Rule(i, label, tuple(k.encode() for k in keywords), re.compile(rb" (?=(" + pattern.encode() + rb") )"), score)
+        for i, (label, score, keywords, pattern) in enumerate(parse())
+    ]
 
 
 def base_places(plain: bytes) -> list[tuple[int, str]]:
@@ -138,12 +50,11 @@ def signatures(plain: bytes, ordered: list[Rule]) -> list[tuple[int, int, Rule]]
     Where detections overlap, the rule with the higher priority stays, unless its interval lies
     in a longer one's: what another contains is suppressed.
     """
-    if not any(t in plain for t in TRIGGERS):
-        return []
+    present = {k: k in plain for k in {k for rule in ordered for k in rule.keywords}} if plain else {}
     hits = [
         (m.start(1), m.end(1), rule)
         for rule in ordered
-        if any(k in plain for k in rule.keywords)
+        if any(present.get(k) for k in rule.keywords)
         for m in rule.pattern.finditer(plain)
     ]
     hits.sort(key=lambda h: (h[0], -h[1], h[2].priority))
@@ -152,11 +63,13 @@ def signatures(plain: bytes, ordered: list[Rule]) -> list[tuple[int, int, Rule]]
         if hit[1] > reach:
             outer.append(hit)
             reach = hit[1]
+    # Those that stay are apart, so only the neighbours of a hit can overlap it.
     kept: list = []
     for hit in sorted(outer, key=lambda h: (h[2].priority, h[0])):
-        if all(hit[1] <= a or hit[0] >= b for a, b, _ in kept):
-            kept.append(hit)
-    return sorted(kept, key=lambda h: h[0])
+        at = bisect_left(kept, hit[:2])
+        if (not at or kept[at - 1][1] <= hit[0]) and (at == len(kept) or hit[1] <= kept[at][0]):
+            kept.insert(at, (hit[0], hit[1], hit[2]))
+    return kept
 
 
 COLUMNS = (

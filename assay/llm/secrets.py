@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.common import saved
+from assay.llm.common import discard, perhaps_among, row_hash, saved, unused
 
 _KEY = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)")
 #: kind: (pattern, group that holds the secret, its least length, a cheap test that texts must pass).
@@ -25,157 +25,161 @@ BASE = ("assign", "access", "hex")
 COPIED_OWNERS = 3
 
 
-def _lengths(strings: Column) -> Column:
-    return F.transform(strings, F.length)
+#: Characters of the blocks that a text is cut into before parts of it are taken.
+_CUT = 1024
 
 
-def _kind_spans(rank: int, kind: str) -> Column:
-    """Spans of one kind from its columns of matches, secrets and gap lengths; null without a match."""
-    matches, secret, gaps = (F.col(f"__{x}_{kind}") for x in "mvg")
-    least = KINDS[kind][2]
-    pieces = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), _lengths(matches).alias("size"))
-    starts = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda done, p: F.struct(
-            (done["at"] + p["gap"] + p["size"]).alias("at"), F.concat(done["starts"], F.array(done["at"] + p["gap"])).alias("starts")
-        ),
-        lambda done: done["starts"],
-    )
-    each = F.transform(
-        F.arrays_zip(starts.alias("start"), _lengths(matches).alias("size"), secret.alias("value")),
-        lambda s: F.struct(
-            s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-            (s["start"] + s["size"]).alias("end"), s["value"].alias("value"),
+def _pieces(text: Column, rank: int, kind: str) -> Column:
+    """(rank, i, gap, size, hash) of a pattern's matches: the length of what parts a match from
+    the one before, its own, and the SHA-256 of the secret, null if that is too short."""
+    pattern, group, least, gate = KINDS[kind]
+    there = text.contains(gate) if gate else text.rlike(pattern)
+    match, secret = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
+    zipped = F.arrays_zip(match.alias("match"), secret.alias("secret"), F.split(text, pattern, -1).alias("gap"))
+    pieces = F.transform(
+        zipped,
+        lambda p, i: F.struct(
+            F.lit(rank).alias("rank"), i.alias("i"), F.length(p["gap"]).alias("gap"), F.length(p["match"]).alias("size"),
+            F.when(F.length(p["secret"]) >= least, F.sha2(p["secret"].cast("binary"), 256)).alias("hash"),
         ),
     )
-    return F.when(F.size(matches) > 0, F.filter(each, lambda s: F.length(s["value"]) >= least))
+    # What follows the last match is a gap without one.
+    return F.when(there, F.filter(pieces, lambda p: p["size"].isNotNull()))
 
 
-def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with `found`: structs (start, rank of kind, kind, end, value), by start and rank.
+def _scanned(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str | None) -> DataFrame:
+    """(row, doc_id, owner, repository, pieces), saved; row is a hash of these and the text.
 
-    A pattern's matches and the gaps that splitting by it leaves alternate, so running sums of
-    their lengths are the matches' positions in code points.
+    The only pass over the texts. Secrets are hashed before anything is written.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    parts = {}
-    for kind, (pattern, group, _, gate) in KINDS.items():
-        there = text.contains(gate) if gate else text.rlike(pattern)
-        parts[f"__m_{kind}"] = F.when(there, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        parts[f"__v_{kind}"] = F.when(there, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
-        parts[f"__g_{kind}"] = F.when(there, _lengths(F.split(text, pattern, -1)))
-    frame = docs.withColumns(parts)
-    spans = [_kind_spans(rank, kind) for rank, kind in enumerate(KINDS)]
-    empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
-    found = F.array_sort(F.flatten(F.array(*[F.coalesce(s, empty) for s in spans])))
-    return frame.withColumn("found", found).drop(*parts)
-
-
-def ownership(found: DataFrame, owner: Column, repository: Column) -> DataFrame:
+    frame = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
+        F.col(repository_col or id_col).cast("string").alias("repository"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        _row(id_col, text_col, owner_col, repository_col).alias("row"),
+    )
+    empty = F.array().cast("array<struct<rank:int,i:int,gap:int,size:int,hash:string>>")
+    kinds = [F.coalesce(_pieces(F.col("text"), rank, kind), empty) for rank, kind in enumerate(KINDS)]
+    return saved(frame.select("row", "doc_id", "owner", "repository", F.flatten(F.array(*kinds)).alias("pieces")))
+
+
+def _row(id_col: str, text_col: str, owner_col: str, repository_col: str | None) -> Column:
+    return row_hash(F.col(id_col), F.col(owner_col).cast("string"), F.col(repository_col or id_col).cast("string"), F.col(text_col).cast("string"))
+
+
+def spans_of(scanned: DataFrame) -> DataFrame:
+    """(row, owner, repository, start, rank, kind, end, hash): each candidate once, repeated rows once.
+
+    Gaps and matches alternate, so their running sums are the matches' positions in code points.
+    Windows hold the matches of one text.
+    """
+    once = scanned.where(F.size("pieces") > 0).dropDuplicates(["row"])
+    each = once.select("row", "owner", "repository", F.inline("pieces")).repartition("row")
+    upto = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("row", "rank").orderBy("i"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("rank") + 1)
+    return each.withColumn("end", upto).where("hash IS NOT NULL").select(
+        "row", "owner", "repository", (F.col("end") - F.col("size")).cast("int").alias("start"), "rank",
+        kind.alias("kind"), F.col("end").cast("int").alias("end"), "hash",
+    )
+
+
+def ownership(spans: DataFrame) -> DataFrame:
     """(hash, n_owners, n_repositories, copied) of every candidate of the corpus.
 
     Distinct owners are counted in two steps, by candidate and owner first, so a candidate that
     a third of all documents hold is reduced before any row of it meets in one task.
     """
-    each = found.select(F.explode("found").alias("s"), owner.alias("owner"), repository.alias("repository"))
-    hashed = each.select(F.sha2("s.value", 256).alias("hash"), "owner", "repository").distinct()
-    by_owner = hashed.groupBy("hash", "owner").agg(F.count("*").alias("n"))
+    by_owner = spans.select("hash", "owner", "repository").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n"))
     return by_owner.groupBy("hash").agg(
         F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories")
     ).withColumn("copied", F.col("n_owners") >= COPIED_OWNERS)
 
 
-def _found(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str | None) -> DataFrame:
-    """(row, doc_id, owner, repository, found), saved; row is a hash of these and the text."""
-    frame = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
-        F.col(repository_col or id_col).cast("string").alias("repository"), F.col(text_col).cast("string").alias("text"),
-    )
-    key = F.xxhash64(F.lit(1), "doc_id", "owner", "repository", "text")
-    return saved(find_spans(frame.withColumn("row", key)).drop("text"))
-
-
-def may_hold(text: Column) -> Column:
-    """Whether any pattern matches; false for null."""
-    any_of = F.lit(False)
-    for pattern, _, _, gate in KINDS.values():
-        any_of = any_of | (text.contains(gate) & text.rlike(pattern) if gate else text.rlike(pattern))
-    return F.coalesce(any_of, F.lit(False))
+def _judged(spans: DataFrame) -> DataFrame:
+    """Spans with n_owners, n_repositories and copied.
 
-
-def _judged(found: DataFrame) -> DataFrame:
-    """(row, start, end, n_owners, copied): every span of each row, repeated rows once."""
-    spans = found.select("row", F.explode("found").alias("s")).select("row", "s.rank", "s.start", "s.end", F.sha2("s.value", 256).alias("hash")).distinct()
-    return spans.join(ownership(found, F.col("owner"), F.col("repository")), "hash")
+    The verdicts have one row a candidate, so where very many spans share one, Spark splits that
+    side of the join (adaptive skew join).
+    """
+    return spans.join(ownership(spans), "hash")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, found spans, and how many of them are copied or look live.
 
-    owner_col names who holds a document (null counts as one owner of its own), repository_col
-    where it lies (each document by default). Candidates are compared by SHA-256 of the secret.
-    Null and empty texts have no spans. Repeated rows each give a row; an empty table gives an
-    empty result; other columns are ignored. Texts are scanned whole.
+    found: structs (start, rank of kind, kind, end, hash), by start and rank. owner_col names who
+    holds a document (null counts as one owner of its own), repository_col where it lies (each
+    document by default). Secrets are known by their SHA-256 only, in results and in saved
+    tables. Null and empty texts have no spans. Repeated rows each give a row; an empty table
+    gives an empty result; other columns are ignored. Texts are scanned whole.
     """
-    found = _found(docs, id_col, text_col, owner_col, repository_col)
-    verdicts = _judged(found).groupBy("row").agg(
-        F.count_if("copied").alias("n_copied"), F.count_if(~F.col("copied")).alias("n_live"), F.max("n_owners").alias("most_owners")
+    scanned = _scanned(docs, id_col, text_col, owner_col, repository_col)
+    spans = saved(spans_of(scanned))
+    found = F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "hash"))).alias("found")
+    verdicts = _judged(spans).groupBy("row").agg(
+        found, F.count_if("copied").alias("n_copied"), F.count_if(~F.col("copied")).alias("n_live"), F.max("n_owners").alias("most_owners")
     )
+    without = scanned.where(F.size("pieces") == 0).select("doc_id")
+    joined = scanned.where(F.size("pieces") > 0).select("row", "doc_id").join(verdicts, "row", "left").drop("row")
+    empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,hash:string>>")
     none = F.lit(0).cast("bigint")
-    return found.join(verdicts, "row", "left").select(
-        "doc_id", "found", *[F.coalesce(c, none).alias(c) for c in ("n_copied", "n_live", "most_owners")]
+    return joined.unionByName(without, allowMissingColumns=True).select(
+        "doc_id", F.coalesce("found", empty).alias("found"), *[F.coalesce(c, none).alias(c) for c in ("n_copied", "n_live", "most_owners")]
     )
 
 
+def _united(spans: DataFrame) -> DataFrame:
+    """(row, spans): sorted spans (start, end) of each row, overlapping ones as one."""
+    ordered = Window.partitionBy("row").orderBy("start", "end")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") < before, 0).otherwise(1)
+    numbered = spans.select("row", "start", "end", opens.alias("opens")).withColumn("part", F.sum("opens").over(ordered))
+    parts = numbered.groupBy("row", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+
+
 def clean(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     repository_col: str | None = None, chars_col: str | None = "n_chars", mask: str = "[REDACTED]",
 ) -> DataFrame:
-    """All documents, their live-looking secrets masked; widely copied examples stay.
+    """All documents, all columns kept, live-looking secrets masked; widely copied examples stay.
 
-    Only texts that a pattern matches meet the verdicts; the others aren't shuffled.
+    chars_col, where docs has it, gets the new text's length. Null and empty texts stay as they
+    are, repeated rows each stay, an empty table stays empty. Only texts with a secret to mask
+    meet the spans; the others aren't shuffled.
     """
-    holds = may_hold(F.col(text_col).cast("string"))
-    plain, docs = docs.where(~holds), docs.where(holds)
-    found = _found(docs, id_col, text_col, owner_col, repository_col)
-    live = _judged(found).where(~F.col("copied")).groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans"))
-    key = F.xxhash64(
-        F.lit(1), F.col(id_col), F.col(owner_col).cast("string"),
-        F.col(repository_col or id_col).cast("string"), F.col(text_col).cast("string"),
-    )
-    joined = docs.withColumn("__row", key).join(live.withColumnRenamed("row", "__row"), "__row", "left")
-    result = joined.withColumn(text_col, masked(F.col(text_col), F.col("__spans"), mask))
-    if chars_col:
-        result = result.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
-    return result.select(*docs.columns).union(plain)
-
-
-def _last(spans: Column) -> Column:
-    return F.get(spans, F.size(spans) - 1)
-
-
-def masked(text: Column, spans: Column, mask: str) -> Column:
-    """Text with sorted spans (start, end) replaced by a mask, overlapping ones as one.
-
-    Without spans (null or empty) the text stays.
+    spans = saved(spans_of(_scanned(docs, id_col, text_col, owner_col, repository_col)))
+    live = saved(_united(_judged(spans).where(~F.col("copied"))))
+    discard(spans)
+    row, near, found = (unused(docs, n) for n in ("__row", "__near", "__spans"))
+    marked = perhaps_among(docs.withColumn(row, _row(id_col, text_col, owner_col, repository_col)), row, live, "row", near)
+    joined = marked.where(near).join(live.select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left")
+    blocks = unused(docs, "__blocks")
+    joined = joined.withColumn(blocks, F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(f"(?s).{{1,{_CUT}}}"), F.lit(0)))
+    result = joined.withColumn(text_col, masked(F.col(text_col).cast("string"), F.col(blocks), F.col(found), mask))
+    if chars_col in docs.columns:
+        length = F.length(text_col).cast(docs.schema[chars_col].dataType)
+        result = result.withColumn(chars_col, F.when(F.col(found).isNotNull(), length).otherwise(F.col(chars_col)))
+    return marked.where(~F.col(near)).select(*docs.columns).unionByName(result.select(*docs.columns))
+
+
+def masked(text: Column, blocks: Column, spans: Column, mask: str) -> Column:
+    """Text with sorted, separate spans (start, end) replaced by a mask; without spans it stays.
+
+    blocks are the text cut every _CUT characters, so that each part is taken from the blocks
+    it lies in and not by counting from the text's start.
     """
-    merged = F.aggregate(
-        spans,
-        F.array().cast("array<struct<start:int,end:int>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (s["start"] < _last(done)["end"]),
-            F.concat(
-                F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(F.struct(_last(done)["start"].alias("start"), F.greatest(_last(done)["end"], s["end"]).alias("end"))),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
-    )
-    # Ends of the gaps between masks: from the text's start to the first, ..., from the last on.
-    begins = F.concat(F.array(F.lit(0)), F.transform(merged, lambda s: s["end"]))
-    ends = F.concat(F.transform(merged, lambda s: s["start"]), F.array(F.length(text)))
-    gaps = F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda g: text.substr(g["a"] + 1, g["b"] - g["a"]))
-    return F.when(F.size(spans) > 0, F.array_join(gaps, mask)).otherwise(text)
+    # From the text's start to the first mask, ..., from the last on.
+    begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
+    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text)))
+
+    def part(g: Column) -> Column:
+        first = F.floor(g["a"] / _CUT).cast("int")
+        last = F.floor(g["b"] / _CUT).cast("int")
+        within = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return within.substr(g["a"] - first * _CUT + 1, g["b"] - g["a"])
+
+    parts = F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), part)
+    return F.when(F.size(spans) > 0, F.array_join(parts, mask)).otherwise(text)
 
 
 def joined_spans(found: Column) -> Column:

@@ -19,7 +19,9 @@ def _written(parts):
                 each.append([t for branch in value[1] for t in _written(branch)])
             case "SUBPATTERN":
                 each.append(_written(value[3]))
-            case "MAX_REPEAT":
+            case "ANY":
+                each.append(["x"])
+            case "MAX_REPEAT" | "MIN_REPEAT":
                 low, high, part = value
                 each.append(["".join(x) for n in {low, high} for x in product(_written(part), repeat=n)])
             case other:
@@ -28,17 +30,13 @@ def _written(parts):
 
 
 def test_gates_let_all_alternatives_pass():
-    families = [(label, name) for label, (_, name) in licenses.FAMILIES.items()]
-    rules = licenses.rules()
-    for label, pattern in families + [(n[0], n[2]) for n in licenses.NOTICES]:
-        own = [r for r in rules if r.label == label]
-        for text in _written(parser.parse(pattern)):
+    for rule in licenses.rules():
+        pattern = rule.pattern.pattern.decode().removeprefix(" (?=(").removesuffix(") )")
+        written = _written(parser.parse(pattern))
+        assert written
+        for text in written:
             plain = f" {text} ".encode()
-            assert any(t in plain for t in licenses.TRIGGERS), text
-            assert any(r.pattern.search(plain) and any(k in plain for k in r.keywords) for r in own), text
-    for form, _ in licenses.FORMS:
-        if "{spdx}" not in form:
-            assert all("mit license" in t for t in _written(parser.parse(form.format(name="mit license"))))
+            assert rule.pattern.search(plain) and any(k in plain for k in rule.keywords), (rule.label, text)
 
 
 def test_labels_without_the_first_keyword():
