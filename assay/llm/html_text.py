@@ -187,7 +187,11 @@ class Page:
     def main_nodes(self) -> set[int]:
         """The nodes whose subtrees are the article: the one with the densest sum, and those
         beside the way to it that are as dense as that way (they, or their children together), or
-        hold the page's heading."""
+        hold the page's heading.
+
+        Inline elements pass their characters, tags and links on to the block they stand in;
+        only blocks have densities to add up. A block without blocks in it adds up to its own.
+        """
         count = len(self.tags)
         chars, links, tags, link_tags = ([0] * count for _ in range(4))
         linked, headed = [False] * count, [t == "h1" for t in self.tags]
@@ -206,16 +210,20 @@ class Page:
             link_tags[p] += link_tags[n] + (self.tags[n] == "a")
             headed[p] |= headed[n]
         density = [_density(chars[n], tags[n], links[n], link_tags[n], chars[0], links[0]) for n in range(count)]
-        sums = [0.0] * count
+        block = [n == 0 or t in _BLOCK for n, t in enumerate(self.tags)]
+        sums, leaf = [0.0] * count, [True] * count
         for n in range(1, count):
-            sums[self.parents[n]] += density[n]
-        best = max(range(count), key=lambda n: (sums[n], -n))
+            p = self.parents[n]
+            while not block[p]:
+                p = self.parents[p]
+            if block[n] and self.tags[n] != "br":
+                sums[p] += density[n]
+                leaf[p] = False
+        sums = [density[n] if leaf[n] else sums[n] for n in range(count)]
+        best = max((n for n in range(count) if block[n]), key=lambda n: (sums[n], -n))
         path = [best]
         while path[-1] and self.tags[path[-1]] != "body":
             path.append(self.parents[path[-1]])
-        for n in path:
-            if self.tags[n] in _ARTICLE:
-                return {n}
         # The least density on the way from the body to the densest sum is what others must reach.
         threshold = min(density[n] for n in path)
         above = set(path[1:])
