@@ -11,14 +11,20 @@ from assay.functions import clean
 BROADCAST_RATES = 500_000
 
 
-def prepare_rates(rates: DataFrame, date_col: str = "date", currency_col: str = "currency", rate_col: str = "vnd_per_currency", aliases: dict | None = None) -> DataFrame:
-    """(currency, date, rate): typed, complete, one row for each currency and day (the highest)."""
+def prepare_rates(rates: DataFrame, date_col: str = "date", currency_col: str = "currency", rate_col: str = "vnd_per_currency", aliases: dict | None = None, order_col: str | None = None) -> DataFrame:
+    """(currency, date, rate): typed, complete, one row for each currency and day.
+
+    Of several rates of a day the last by order_col counts (the highest of those that tie);
+    Spark's rows have no order of their own, so without order_col it is the highest.
+    """
     typed = rates.select(
         clean.currency_code(F.col(currency_col).cast("string"), aliases).alias("currency"),
         clean.to_timestamp(F.col(date_col).cast("string")).cast("date").alias("date"),
         clean.to_decimal(F.col(rate_col).cast("string")).alias("rate"),
-    ).dropna()
-    return typed.groupBy("currency", "date").agg(F.max("rate").alias("rate"))
+        (F.col(order_col) if order_col else F.lit(0)).alias("place"),
+    ).dropna(subset=["currency", "date", "rate"])
+    last = F.max(F.struct("place", "rate"))
+    return typed.groupBy("currency", "date").agg(last.alias("last")).select("currency", "date", F.col("last.rate").alias("rate"))
 
 
 def _small(rates: DataFrame) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from assay.config import KEY_LENGTH
 from assay.functions import clean
 from assay.functions.names import is_currency_column
 from assay.operators.profile import with_examples
-from assay.operators.transform import CLEANED, target_columns
+from assay.operators.transform import CLEANED, before_after, target_columns, typed_with_cleaned, without_exact_duplicates
 from assay.plans.contract import Contract, TableSpec
 from assay.types import LOGICAL
 
@@ -18,7 +20,6 @@ TARGET_EXISTS, DATATYPE, MISSING_RATE, NOT_NULL, KEY_NULL, KEY_TWICE, KEY_TOO_LO
     "51000", "51001", "51002", "51003", "51004", "51005", "51006",
 )
 ISSUE = "table_name string, column_name string, issue_type string, issue_count bigint, example string, severity string"
-RANK = {"PASS": 0, "WARNING": 1, "FAIL": 2}
 
 
 class GuardError(ValueError):
@@ -169,3 +170,58 @@ def status(issues: DataFrame, tables: DataFrame) -> DataFrame:
     worst = issues.groupBy("table_name").agg(rank.alias("r"))
     named = F.when(F.col("r") == 2, "FAIL").when(F.col("r") == 1, "WARNING").otherwise("PASS")
     return tables.join(worst, "table_name", "left").select("table_name", named.alias("status"))
+
+
+def review(raw: dict[str, DataFrame], contract: Contract, typed: dict[str, DataFrame], rates: DataFrame | None = None) -> DataFrame:
+    """The review before sign-off, a row a table: before_after with what validation says.
+
+    raw: by source name; typed: by target name. invalid_after adds up the failing issues' counts.
+    """
+    counts = reduce(DataFrame.unionByName, [before_after(raw[t.source], t, contract, rates) for t in contract.tables])
+    issues = validate_all(typed, contract)
+    failing = issues.where("severity = 'FAIL'").groupBy("table_name").agg(F.sum("issue_count").alias("invalid_after"))
+    judged = status(issues, counts.select("table_name")).join(failing, "table_name", "left")
+    return counts.join(judged, "table_name").withColumn("invalid_after", F.coalesce("invalid_after", F.lit(0).cast("bigint"))).select(
+        *counts.columns, "invalid_after", "status"
+    )
+
+
+def summary(reviewed: DataFrame) -> DataFrame:
+    """The short form of a review: rows in and out, changed, removed as duplicates, status."""
+    removed = (F.col("input_rows") - F.col("output_rows")).alias("removed_duplicates")
+    return reviewed.select("table_name", "input_rows", "output_rows", "changed_rows", removed, "status")
+
+
+def duplicate_report(raw: DataFrame, table: TableSpec, contract: Contract, rates: DataFrame | None = None) -> DataFrame:
+    """One row: exact duplicates removed, rows that remain, and of these the rows that share a key
+    (never removed)."""
+    every = typed_with_cleaned(raw, table, contract, rates).select(*target_columns(table))
+    kept = without_exact_duplicates(every, table).groupBy(*table.primary_key).agg(F.count("*").alias("__n"))
+    zero = F.lit(0).cast("bigint")
+    left = kept.agg(F.coalesce(F.sum("__n"), zero).alias("remaining_rows"), F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), zero).alias("duplicate_key_rows"))
+    name = F.lit(table.name).alias("table_name")
+    both = raw.agg(F.count("*").alias("input_rows")).select(name, "*").join(left.select(name, "*"), "table_name")
+    return both.select("table_name", "input_rows", (F.col("input_rows") - F.col("remaining_rows")).alias("removed_rows"), "remaining_rows", "duplicate_key_rows")
+
+
+def post_build(typed: dict[str, DataFrame], contract: Contract) -> DataFrame:
+    """(table_name, check, subject, n) of published tables: rows, repeated keys, rows without a
+    parent; tables and parents that aren't there are left out."""
+    parts = []
+
+    def add(counted: DataFrame, table: str, what: str, subject: str) -> None:
+        parts.append(counted.select(F.lit(table).alias("table_name"), F.lit(what).alias("check"), F.lit(subject).alias("subject"), F.col("n").cast("bigint").alias("n")))
+
+    for t in contract.tables:
+        if (df := typed.get(t.name)) is None:
+            continue
+        add(df.agg(F.count("*").alias("n")), t.name, "ROWS", "")
+        if t.primary_key:
+            twice = df.groupBy(*t.primary_key).agg(F.count("*").alias("c")).where("c > 1")
+            add(twice.agg(F.count("*").alias("n")), t.name, "REPEATED_KEYS", "+".join(t.primary_key))
+        for fk in t.foreign_keys:
+            parent = contract.table(fk.parent_table)
+            if parent and parent.name in typed:
+                lost = orphans(df, fk.column, typed[parent.name], parent.column(fk.parent_column).name)
+                add(lost.agg(F.count("*").alias("n")), t.name, "ORPHANS", f"{fk.column} -> {parent.name}")
+    return reduce(DataFrame.unionByName, parts)

@@ -35,16 +35,39 @@ def _rank(name: str, place: int) -> int:
     return 100 * (plain == "id") + 120 * plain.endswith("_id") + 20 * ("line_id" in plain) + max(0, 30 - place)
 
 
-def composite_counts(df: DataFrame, combos: list[tuple[str, ...]]) -> dict[tuple[str, ...], int]:
-    """Distinct values of each combination of columns, null equal to null."""
-    structs = [F.count_distinct(F.struct(*[f"`{c}`" for c in combo])).alias(str(i)) for i, combo in enumerate(combos)]
-    return dict(zip(combos, df.agg(*structs).first())) if combos else {}
+def composite_counts(df: DataFrame, combos: list[tuple[str, ...]]) -> DataFrame:
+    """(combo, distinct_keys, row_count) of combinations of columns, null equal to null.
+
+    Each combination is a grouping of its own columns, so no row is expanded for another's.
+    """
+    found = None
+    for combo in combos:
+        groups = df.groupBy(*[f"`{c}`" for c in combo]).agg(F.count("*").alias("__n"))
+        one = groups.agg(F.count("*").alias("distinct_keys"), F.coalesce(F.sum("__n"), F.lit(0).cast("bigint")).alias("row_count"))
+        one = one.select(F.lit("+".join(combo)).alias("combo"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _promising(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> list[tuple[str, ...]]:
+    """Combinations that by approximate counts, in one pass without a shuffle of keys, may be unique."""
+    if not combos:
+        return []
+    row = df.agg(*[F.approx_count_distinct(F.xxhash64(*[f"`{c}`" for c in combo]), 0.02).alias(str(i)) for i, combo in enumerate(combos)]).first()
+    # Five deviations of the estimate below the number of rows.
+    return [combo for combo, n in zip(combos, row) if n >= 0.9 * rows]
+
+
+def is_unique(df: DataFrame, combo: tuple[str, ...]) -> bool:
+    """Whether no two rows share these columns' values."""
+    return df.groupBy(*[f"`{c}`" for c in combo]).agg(F.count("*").alias("__n")).where("__n > 1").isEmpty()
 
 
 def suggest_primary_key(df: DataFrame) -> list[str]:
     """The best unique column without missing values; else the first unique pair, then triple.
 
-    Combinations whose distinct values can't reach the number of rows aren't counted.
+    Combinations whose distinct values can't reach the number of rows, by the columns' counts or
+    by an estimate, aren't counted; the others are, one by one, until one is unique.
     """
     found = {r["column_name"]: r for r in key_candidates(df).toLocalIterator()}
     complete = [c for c in df.columns if c in found and not found[c]["missing"]]
@@ -61,9 +84,8 @@ def suggest_primary_key(df: DataFrame) -> list[str]:
                 reach *= found[c]["distinct_keys"]
             if reach >= rows:
                 combos.append(combo)
-        counts = composite_counts(df, combos)
-        for combo in combos:
-            if counts[combo] == rows:
+        for combo in _promising(df, combos, rows):
+            if is_unique(df, combo):
                 return list(combo)
     return []
 

@@ -1,12 +1,13 @@
 """Profiling of raw tables.
 
-One grouping of (column, value) answers every question about columns: the distinct values with
-their counts are far fewer than the rows, and no distinct count has to expand them.
+What can be counted row by row is one aggregate over all columns: a single scan, no shuffle of
+values. Only distinct values and variants need a grouping of (column, value).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,21 +22,29 @@ ISSUE_COLUMNS = ("table_name", "column_name", "issue_type", "issue_count", "exam
 TEXT_NAMES = ("_id", "code", "sku", "tax", "phone", "mobile", "tracking", "postal", "zip")
 DATE_NAMES = ("date", "time", "_at", "effective", "day")
 FLAG_STARTS, FLAG_ENDS = ("is_", "has_"), ("_flag", "_indicator")
+#: Longer values are compared by their digest.
+LONG = 64
 FLAG_TEXTS = ("true", "false", "yes", "no", "y", "n", "0", "1")
 
 
 def value_counts(df: DataFrame) -> DataFrame:
     """(column_name, value, n): how often each column holds each value, as text; null counts."""
-    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    return texts.unpivot([], texts.columns, "column_name", "value").groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    return cells(df).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
-def _missing() -> Column:
-    return clean.is_missing(F.col("value"))
+def cells(df: DataFrame) -> DataFrame:
+    """(column_name, value): every cell, as text."""
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    return texts.unpivot([], texts.columns, "column_name", "value")
 
 
-def _rows(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
+def _each(df: DataFrame, **measures: Callable[[Column], Column]) -> DataFrame:
+    """(column_name, measures): aggregates of every column's text, all in one pass."""
+    found = []
+    for i, c in enumerate(df.columns):
+        text = F.col(f"`{c}`").cast("string")
+        found.append(F.struct(F.lit(c).alias("column_name"), *[m(text).alias(k) for k, m in measures.items()]).alias(f"c{i}"))
+    return df.agg(*found).select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(found))])))
 
 
 def with_examples(df: DataFrame, keys: list[str], value: Column, n: Column, most: int) -> DataFrame:
@@ -70,28 +79,30 @@ def profile_table(name: str, df: DataFrame) -> DataFrame:
     ).select(F.lit(name).alias("table_name"), "*")
 
 
-def profile_columns(counts: DataFrame) -> DataFrame:
-    """A row for each column: missing values of either kind, and distinct values with and without them."""
+def profile_columns(df: DataFrame) -> DataFrame:
+    """A row for each column: missing values of either kind, and distinct values with and without
+    them. Long values are grouped by a digest, so they aren't shuffled."""
     value = F.col("value")
-    return counts.groupBy("column_name").agg(
+    key = F.when(F.length(value) > LONG, F.sha2(value, 256)).otherwise(value)
+    groups = cells(df).groupBy("column_name", key.alias("key"), value.isNull().alias("null"), clean.is_marker(value).alias("marker")).agg(F.count("*").alias("n"))
+    rows = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
+    missing = F.col("null") | F.col("marker")
+    return groups.groupBy("column_name").agg(
         F.sum("n").alias("row_count"),
-        _rows(value.isNull()).alias("real_null_count"),
-        _rows(clean.is_marker(value)).alias("marker_count"),
-        _rows(_missing()).alias("missing_count"),
+        rows(F.col("null")).alias("real_null_count"),
+        rows(F.col("marker")).alias("marker_count"),
+        rows(missing).alias("missing_count"),
         F.count("*").alias("unique_count"),
-        F.count_if(~_missing()).alias("effective_unique_count"),
+        F.count_if(~missing).alias("effective_unique_count"),
     )
 
 
-def missing_values(counts: DataFrame) -> DataFrame:
+def missing_values(df: DataFrame) -> DataFrame:
     """(column_name, real_null, marker_null, example) of the columns that miss values."""
-    value = F.col("value")
-    found = counts.groupBy("column_name").agg(
-        _rows(value.isNull()).alias("real_null"),
-        _rows(clean.is_marker(value)).alias("marker_null"),
-        clean.examples(F.when(clean.is_marker(value), value), 5).alias("example"),
-    )
-    return found.where("real_null + marker_null > 0")
+    found = _each(df, real_null=lambda c: F.count_if(c.isNull()), marker_null=lambda c: F.count_if(clean.is_marker(c)))
+    shown = with_examples(cells(df).where(clean.is_marker(F.col("value"))), ["column_name"], F.col("value"), F.lit(1), 5)
+    named = found.where("real_null + marker_null > 0").join(F.broadcast(shown.drop("n")), "column_name", "left")
+    return named.select("column_name", "real_null", "marker_null", F.coalesce("example", F.lit("")).alias("example"))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
@@ -100,44 +111,51 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
     return groups.agg(F.count("*").alias("duplicate_group_count"), F.sum("__n").alias("affected_rows")).where("duplicate_group_count > 0")
 
 
-def text_variants(counts: DataFrame) -> DataFrame:
+def text_variants(df: DataFrame) -> DataFrame:
     """Values that differ in case and white space only: a row for each such key of a column."""
-    keyed = counts.where(~_missing()).withColumn("variant_key", clean.match_key(F.col("value")))
-    groups = keyed.groupBy("column_name", "variant_key").agg(
-        F.count("*").alias("variant_count"), F.sum("n").alias("affected_rows"), clean.examples(F.col("value"), 10).alias("variants")
+    known = value_counts(df).where(~clean.is_missing(F.col("value"))).withColumn("variant_key", clean.match_key(F.col("value")))
+    place = F.row_number().over(Window.partitionBy("column_name", "variant_key").orderBy("value"))
+    first = F.array_join(F.array_sort(F.collect_list(F.when(F.col("place") <= 10, F.col("value")))), " | ")
+    groups = known.withColumn("place", place).groupBy("column_name", "variant_key").agg(
+        F.count("*").alias("variant_count"), F.sum("n").alias("affected_rows"), first.alias("variants")
     )
     return groups.where("variant_count > 1")
 
 
-def whitespace_issues(counts: DataFrame) -> DataFrame:
+def whitespace_issues(df: DataFrame) -> DataFrame:
     """(column_name, edge, repeated, control, total) of the columns with stray white space."""
-    value = F.col("value")
-    edge, repeated, control = clean.edge_space(value), clean.repeated_space(value), clean.control_space(value)
-    return counts.groupBy("column_name").agg(
-        _rows(edge).alias("edge"), _rows(repeated).alias("repeated"), _rows(control).alias("control"), _rows(edge | repeated | control).alias("total")
+    return _each(
+        df,
+        edge=lambda c: F.count_if(clean.edge_space(c)),
+        repeated=lambda c: F.count_if(clean.repeated_space(c)),
+        control=lambda c: F.count_if(clean.control_space(c)),
+        total=lambda c: F.count_if(clean.edge_space(c) | clean.repeated_space(c) | clean.control_space(c)),
     ).where("total > 0")
 
 
-def structure_issues(counts: DataFrame) -> DataFrame:
+def structure_issues(df: DataFrame) -> DataFrame:
     """(column_name, issue_type) of columns without values or with one value only."""
-    found = counts.groupBy("column_name").agg(F.count_if(~_missing()).alias("n"))
-    kind = F.when(F.col("n") == 0, "ALL_MISSING_COLUMN").when(F.col("n") == 1, "CONSTANT_COLUMN")
+    known = lambda c: F.when(~clean.is_missing(c), c)
+    found = _each(df, least=lambda c: F.min(known(c)), most=lambda c: F.max(known(c)))
+    kind = F.when(F.col("least").isNull(), "ALL_MISSING_COLUMN").when(F.col("least") == F.col("most"), "CONSTANT_COLUMN")
     return found.select("column_name", kind.alias("issue_type")).where("issue_type IS NOT NULL")
 
 
-def type_evidence(counts: DataFrame) -> DataFrame:
+def _is_date(c: Column) -> Column:
+    return c.rlike("[-/:T ]") & clean.to_timestamp(c).isNotNull()
+
+
+def type_evidence(df: DataFrame) -> DataFrame:
     """For each column, in rows that have a value: how many read as what."""
-    value = F.col("value")
-    known = ~_missing()
-    is_date = value.rlike("[-/:T ]") & clean.to_timestamp(value).isNotNull()
-    number = clean.to_decimal(value)
-    return counts.groupBy("column_name").agg(
-        _rows(known).alias("effective"),
-        _rows(known & number.isNotNull()).alias("numbers"),
-        _rows(known & clean.to_integer(value).isNotNull()).alias("integers"),
-        _rows(known & is_date).alias("dates"),
-        _rows(known & is_date & value.rlike(r"\d{1,2}:\d{2}")).alias("times"),
-        _rows(known & clean.match_key(value).isin(*FLAG_TEXTS)).alias("flags"),
+    among = lambda test: lambda c: F.count_if(~clean.is_missing(c) & test(c))
+    return _each(
+        df,
+        effective=lambda c: F.count_if(~clean.is_missing(c)),
+        numbers=among(lambda c: clean.to_decimal(c).isNotNull()),
+        integers=among(lambda c: clean.to_integer(c).isNotNull()),
+        dates=among(_is_date),
+        times=among(lambda c: _is_date(c) & c.rlike(r"\d{1,2}:\d{2}")),
+        flags=among(lambda c: clean.match_key(c).isin(*FLAG_TEXTS)),
     )
 
 
@@ -157,26 +175,38 @@ def infer_type(name: str, evidence: dict) -> str:
     return dated if evidence["dates"] >= 0.95 * n else "string"
 
 
-def suggest_types(counts: DataFrame) -> dict[str, str]:
+def suggest_types(df: DataFrame) -> dict[str, str]:
     """Suggested type of every column; one row of evidence a column comes to the driver."""
-    return {r["column_name"]: infer_type(r["column_name"], r.asDict()) for r in type_evidence(counts).toLocalIterator()}
+    return {r["column_name"]: infer_type(r["column_name"], r.asDict()) for r in type_evidence(df).collect()}
+
+
+def type_proposal(df: DataFrame) -> DataFrame:
+    """(column_name, datatype, numeric_ratio, date_ratio) of every column."""
+    found = []
+    for r in type_evidence(df).collect():  # one row a column
+        n = r["effective"]
+        found.append((r["column_name"], infer_type(r["column_name"], r.asDict()), r["numbers"] / n if n else 0.0, r["dates"] / n if n else 0.0))
+    return df.sparkSession.createDataFrame(found, "column_name string, datatype string, numeric_ratio double, date_ratio double")
 
 
-def datatype_issues(counts: DataFrame, types: dict[str, str]) -> DataFrame:
+def datatype_issues(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """(column_name, invalid_count, example): values that don't read as the column's type."""
     value = F.col("value")
     bad = F.lit(False)
     for name, datatype in types.items():
         if datatype != "string":
             bad = F.when(F.col("column_name") == name, clean.to_logical(value, datatype).isNull()).otherwise(bad)
-    wrong = counts.where(~_missing()).where(bad)
-    return with_examples(wrong, ["column_name"], value, F.col("n"), 10).withColumnRenamed("n", "invalid_count")
+    typed = [c for c in df.columns if types.get(c, "string") != "string"]
+    if not typed:
+        return df.sparkSession.createDataFrame([], "column_name string, invalid_count bigint, example string")
+    # Only bad cells are grouped.
+    wrong = cells(df.select(*[f"`{c}`" for c in typed])).where(~clean.is_missing(value)).where(bad)
+    return with_examples(wrong, ["column_name"], value, F.lit(1), 10).withColumnRenamed("n", "invalid_count")
 
 
 def all_issues(name: str, df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
     """Every issue of a table in one schema (ISSUE_COLUMNS)."""
-    counts = value_counts(df)
-    types = suggest_types(counts) if types is None else types
+    types = suggest_types(df) if types is None else types
     none = F.lit("")
 
     def issue(found: DataFrame, kind: Column, column: Column, count: Column, example: Column, detail: Column) -> DataFrame:
@@ -187,16 +217,16 @@ def all_issues(name: str, df: DataFrame, types: dict[str, str] | None = None) ->
 
     column = F.col("column_name")
     parts = [
-        issue(missing_values(counts), F.lit("MISSING_VALUE"), column, F.expr("real_null + marker_null"), F.col("example"),
+        issue(missing_values(df), F.lit("MISSING_VALUE"), column, F.expr("real_null + marker_null"), F.col("example"),
               F.concat(F.lit("real_null="), "real_null", F.lit("; marker_null="), "marker_null")),
         issue(exact_duplicates(df), F.lit("EXACT_DUPLICATE"), none, F.col("affected_rows"), none,
               F.concat(F.lit("groups="), "duplicate_group_count")),
-        issue(text_variants(counts), F.lit("TEXT_VARIANT"), column, F.col("affected_rows"), F.col("variants"),
+        issue(text_variants(df), F.lit("TEXT_VARIANT"), column, F.col("affected_rows"), F.col("variants"),
               F.concat(F.lit("Normalized value: "), "variant_key")),
-        issue(whitespace_issues(counts), F.lit("WHITESPACE"), column, F.col("total"), none,
+        issue(whitespace_issues(df), F.lit("WHITESPACE"), column, F.col("total"), none,
               F.concat(F.lit("edge="), "edge", F.lit("; repeated="), "repeated", F.lit("; control="), "control")),
-        issue(structure_issues(counts), F.col("issue_type"), column, F.lit(1), none, none),
-        issue(datatype_issues(counts, types), F.lit("DATATYPE_PARSE"), column, F.col("invalid_count"), F.col("example"), none),
+        issue(structure_issues(df), F.col("issue_type"), column, F.lit(1), none, none),
+        issue(datatype_issues(df, types), F.lit("DATATYPE_PARSE"), column, F.col("invalid_count"), F.col("example"), none),
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,33 +76,42 @@ def target_schema(table: TableSpec) -> T.StructType:
 
 def transform(raw: DataFrame, table: TableSpec, contract: Contract, rates: DataFrame | None = None) -> DataFrame:
     """The typed table; exact duplicates go, after cleaning, if that fix is approved."""
-    frame = typed_with_cleaned(raw, table, contract, rates).select(*target_columns(table))
+    return without_exact_duplicates(typed_with_cleaned(raw, table, contract, rates).select(*target_columns(table)), table)
+
+
+def without_exact_duplicates(frame: DataFrame, table: TableSpec) -> DataFrame:
+    """Equal rows once, if that fix is approved; else all rows."""
     return frame.distinct() if table.fixes("EXACT_DUPLICATE", "REMOVE_EXACT_DUPLICATES") else frame
 
 
-def changed_rows(raw: DataFrame, table: TableSpec, contract: Contract) -> DataFrame:
-    """One row: input_rows, and changed_rows in which any column's text changed by cleaning."""
-    every = expressions(table, contract)
-    changed = [~F.col(f"`{e.spec.source}`").cast("string").eqNullSafe(e.cleaned) for e in every]
-    anything = changed[0]
-    for c in changed[1:]:
-        anything = anything | c
-    return raw.agg(F.count("*").alias("input_rows"), F.count_if(anything).alias("changed_rows"))
+def _nulls(columns: list[Column]) -> Column:
+    return sum((c.isNull().cast("bigint") for c in columns), F.lit(0).cast("bigint"))
 
 
 def before_after(raw: DataFrame, table: TableSpec, contract: Contract, rates: DataFrame | None = None) -> DataFrame:
-    """One row: rows, changed rows, missing cells, bad values and duplicates before and after."""
+    """One row: rows, rows that cleaning changed, missing cells, bad values, and duplicate rows
+    beyond the first, of the raw table and the typed one.
+
+    The raw table is counted in one pass and grouped in another, the typed one grouped once.
+    """
     every = expressions(table, contract)
-    sources = [F.col(f"`{c.source}`").cast("string") for c in table.columns]
+    sources = [F.col(f"`{e.spec.source}`").cast("string") for e in every]
     target = transform(raw, table, contract, rates)
-    nulls = lambda columns: sum((c.isNull().cast("bigint") for c in columns), F.lit(0).cast("bigint"))
-    invalid = sum(((e.cleaned.isNotNull() & e.typed.isNull()).cast("bigint") for e in every), F.lit(0).cast("bigint"))
     zero = F.lit(0).cast("bigint")
-    before = changed_rows(raw, table, contract).join(
-        raw.agg(F.coalesce(F.sum(nulls(sources)), zero).alias("null_before"), F.coalesce(F.sum(invalid), zero).alias("invalid_before"))
+    total = lambda c: F.coalesce(F.sum(c), zero)
+    changed = reduce(or_, [~c.eqNullSafe(e.cleaned) for c, e in zip(sources, every)])
+    invalid = sum(((e.cleaned.isNotNull() & e.typed.isNull()).cast("bigint") for e in every), zero)
+    before = raw.agg(
+        F.count("*").alias("input_rows"), F.count_if(changed).alias("changed_rows"),
+        total(_nulls(sources)).alias("null_before"), total(invalid).alias("invalid_before"),
+    )
+    groups = raw.groupBy(*[f"`{e.spec.source}`" for e in every]).agg(F.count("*").alias("__n"))
+    twice = groups.agg(total(F.col("__n") - 1).alias("duplicate_before"))
+    rows = target.groupBy(*target.columns).agg(F.count("*").alias("__n"))
+    nulls = _nulls([F.col(f"`{c}`") for c in target.columns])
+    after = rows.agg(total("__n").alias("output_rows"), total(F.col("__n") - 1).alias("duplicate_after"), total(nulls * F.col("__n")).alias("null_after"))
+    # Each part is one row.
+    name = lambda df: df.select(F.lit(table.name).alias("table_name"), "*")
+    return name(before).join(name(twice), "table_name").join(name(after), "table_name").select(
+        "table_name", "input_rows", "output_rows", "changed_rows", "duplicate_before", "duplicate_after", "null_before", "null_after", "invalid_before"
     )
-    after = target.agg(F.count("*").alias("output_rows"), F.coalesce(F.sum(nulls([F.col(c) for c in target.columns])), zero).alias("null_after"))
-    extra = lambda df, name: df.groupBy(*df.columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), zero).alias(name))
-    duplicates = extra(raw.select(*[f"`{c.source}`" for c in table.columns]), "duplicate_before").join(extra(target, "duplicate_after"))
-    # Each side is one row of aggregates.
-    return before.join(after).join(duplicates).select(F.lit(table.name).alias("table_name"), "*", F.lit(0).cast("bigint").alias("invalid_after"))

@@ -112,6 +112,33 @@ class Contract:
     def to_dict(self) -> dict:
         return asdict(self)
 
+    @staticmethod
+    def from_dict(value: Mapping) -> Contract:
+        """The contract that to_dict() gave, also after a way through JSON."""
+
+        def table(t: Mapping) -> TableSpec:
+            return TableSpec(
+                t["source"], t["name"], tuple(ColumnSpec(**x) for x in t["columns"]), tuple(t["primary_key"]),
+                tuple(ForeignKey(**x) for x in t["foreign_keys"]), t["allow_no_primary_key"],
+                tuple(Decision(**x) for x in t["decisions"]), t["mappings"], tuple(Conversion(**x) for x in t["conversions"]),
+            )
+
+        return Contract(tuple(map(table, value["tables"])), value["base_currency"], value["aliases"])
+
+    def relationships(self) -> list[tuple[str, str, str, str]]:
+        """(table, column, parent table, parent column) of every reference, by target names."""
+        found = []
+        for t in self.tables:
+            for fk in t.foreign_keys:
+                parent = self.table(fk.parent_table)
+                column = parent.column(fk.parent_column) if parent else None
+                found.append((t.name, fk.column, parent.name if parent else fk.parent_table, column.name if column else fk.parent_column))
+        return found
+
+    def warnings(self) -> list[str]:
+        """What isn't wrong but worth a look: tables approved without a key."""
+        return [f"{t.source}: no primary key, as approved" for t in self.tables if t.allow_no_primary_key and not t.primary_key]
+
 
 def _flag(value: object, what: str, errors: list[str]) -> bool:
     text = str(value if value is not None else "").strip().lower()

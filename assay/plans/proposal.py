@@ -15,11 +15,9 @@ def propose(tables: dict[str, DataFrame]) -> list[dict]:
     foreign = {(t, c): f"{p}.{pc}" for t, c, p, pc, _ in keys.propose_foreign_keys(tables, primary)}
     rows = []
     for name, df in tables.items():
-        counts = profile.value_counts(df).persist()
-        types = profile.suggest_types(counts)
-        missing = {r["column_name"] for r in profile.missing_values(counts).toLocalIterator()}
+        types = profile.suggest_types(df)
+        missing = {r["column_name"] for r in profile.missing_values(df).collect()}
         totals = profile.profile_table(name, df).first()
-        counts.unpersist()
         for c in df.columns:
             rows.append({
                 "table_name": name, "silver_table_name": table_name(name), "allow_no_primary_key": str(not primary[name]),

@@ -175,13 +175,13 @@ def bronze_profile(spark, sf_dir):
     {_sum(_missing('value'))} AS missing_count, count(*) AS unique_count, count(*) FILTER (WHERE NOT {_missing('value')}) AS effective_unique_count
     FROM {_CUSTOMER_COUNTS} c GROUP BY column_name""")
 def column_profile(spark, sf_dir):
-    return profile.profile_columns(profile.value_counts(_customer(spark, sf_dir)))
+    return profile.profile_columns(_customer(spark, sf_dir))
 
 
 @query(f"""SELECT column_name, {_sum('value IS NULL')} AS real_null, {_sum(_marker('value'))} AS marker_null, {_first('value', 5, _marker('value'))} AS example
     FROM {_CUSTOMER_COUNTS} c GROUP BY column_name HAVING {_sum(_missing('value'))} > 0""")
 def missing_values(spark, sf_dir):
-    return profile.missing_values(profile.value_counts(_customer(spark, sf_dir)))
+    return profile.missing_values(_customer(spark, sf_dir))
 
 
 @query(f"SELECT count(*) FILTER (WHERE segment IS NULL) AS real_null, count(*) FILTER (WHERE {_marker('segment')}) AS marker, count(*) FILTER (WHERE NOT {_missing('segment')}) AS effective FROM {_CUSTOMER} c")
@@ -200,19 +200,19 @@ def marker_examples(spark, sf_dir):
     {_sum("regexp_matches(value, '[\\t\\r\\n]')")} AS control, {_sum(f"value <> {_strip('value')} OR contains(value, '  ') OR regexp_matches(value, '[\\t\\r\\n]')")} AS total
     FROM {_CUSTOMER_COUNTS} c GROUP BY column_name HAVING {_sum(f"value <> {_strip('value')} OR contains(value, '  ') OR regexp_matches(value, '[\\t\\r\\n]')")} > 0""")
 def whitespace_report(spark, sf_dir):
-    return profile.whitespace_issues(profile.value_counts(_customer(spark, sf_dir)))
+    return profile.whitespace_issues(_customer(spark, sf_dir))
 
 
 @query(f"""SELECT column_name, variant_key, count(*) AS variant_count, CAST(sum(n) AS BIGINT) AS affected_rows, {_first('value', 10)} AS variants
     FROM (SELECT *, {_key('value')} AS variant_key FROM {_ORDER_COUNTS} c WHERE NOT {_missing('value')}) k GROUP BY column_name, variant_key HAVING count(*) > 1""")
 def text_variants(spark, sf_dir):
-    return profile.text_variants(profile.value_counts(_orders(spark, sf_dir)))
+    return profile.text_variants(_orders(spark, sf_dir))
 
 
 @query(f"""SELECT column_name, CASE count(*) FILTER (WHERE NOT {_missing('value')}) WHEN 0 THEN 'ALL_MISSING_COLUMN' ELSE 'CONSTANT_COLUMN' END AS issue_type
     FROM {_CUSTOMER_COUNTS} c GROUP BY column_name HAVING count(*) FILTER (WHERE NOT {_missing('value')}) < 2""")
 def constant_columns(spark, sf_dir):
-    return profile.structure_issues(profile.value_counts(_customer(spark, sf_dir)))
+    return profile.structure_issues(_customer(spark, sf_dir))
 
 
 _IS_DATE = f"(regexp_matches(value, '[-/:T ]') AND {_time('value')} IS NOT NULL)"
@@ -223,14 +223,14 @@ _IS_DATE = f"(regexp_matches(value, '[-/:T ]') AND {_time('value')} IS NOT NULL)
     {_sum(f"k AND {_key('value')} IN ('true', 'false', 'yes', 'no', 'y', 'n', '0', '1')")} AS flags
     FROM (SELECT *, NOT {_missing('value')} AS k FROM {_ORDER_COUNTS} c) s GROUP BY column_name""")
 def datatype_inference(spark, sf_dir):
-    return profile.type_evidence(profile.value_counts(_orders(spark, sf_dir)))
+    return profile.type_evidence(_orders(spark, sf_dir))
 
 
 @query(f"""SELECT column_name, CAST(sum(n) AS BIGINT) AS invalid_count, {_first('value', 10)} AS example FROM {_ORDER_COUNTS} c WHERE NOT {_missing('value')} AND CASE column_name
     WHEN 'price' THEN {_number('value')} IS NULL WHEN 'order_date' THEN {_time('value')} IS NULL WHEN 'is_open' THEN {_boolean('value')} IS NULL WHEN 'units' THEN {_integer('value')} IS NULL ELSE false END GROUP BY column_name""")
 def datatype_issues(spark, sf_dir):
     types = {"price": "decimal", "order_date": "date", "is_open": "boolean", "units": "integer", "status": "string"}
-    return profile.datatype_issues(profile.value_counts(_orders(spark, sf_dir)), types)
+    return profile.datatype_issues(_orders(spark, sf_dir), types)
 
 
 _GROUPS = f"(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, count(*) AS c FROM {_DOUBLED} d GROUP BY ALL)"
@@ -243,7 +243,10 @@ def exact_duplicates(spark, sf_dir):
 
 @query(f"SELECT DISTINCT * FROM {_DOUBLED} d")
 def remove_exact_duplicates(spark, sf_dir):
-    return _doubled(spark, sf_dir).distinct()
+    columns = _table(spark, sf_dir, "orders").dtypes
+    logical = {"bigint": "integer", "int": "integer"}
+    table = TableSpec("orders", "orders", tuple(ColumnSpec(c, c, logical.get(kind, "string")) for c, kind in columns), decisions=(_FIX("", "EXACT_DUPLICATE", "REMOVE_EXACT_DUPLICATES"),))
+    return transform.without_exact_duplicates(_doubled(spark, sf_dir), table)
 
 
 # ------------------------------------------------------------------ cleaning
@@ -314,10 +317,7 @@ _COMBOS = [("l_orderkey", "l_linenumber"), ("l_orderkey", "l_partkey"), ("l_orde
 
 @query(" UNION ALL ".join(f"SELECT '{'+'.join(c)}' AS combo, count(*) AS distinct_keys, CAST(sum(c) AS BIGINT) AS row_count FROM (SELECT {', '.join(c)}, count(*) AS c FROM lineitem GROUP BY ALL)" for c in _COMBOS))
 def pk_candidates_composite(spark, sf_dir):
-    items = _table(spark, sf_dir, "lineitem")
-    row = items.agg(*[F.count_distinct(F.struct(*c)).alias(f"d{i}") for i, c in enumerate(_COMBOS)], F.count("*").alias("n"))
-    parts = [F.struct(F.lit("+".join(c)).alias("combo"), F.col(f"d{i}").alias("distinct_keys"), F.col("n").alias("row_count")) for i, c in enumerate(_COMBOS)]
-    return row.select(F.inline(F.array(*parts)))
+    return keys.composite_counts(_table(spark, sf_dir, "lineitem"), _COMBOS)
 
 
 _KEYED = "(SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from assay.functions.names import quoted
 from assay.operators import guards
@@ -17,6 +18,24 @@ def _drop(spark: SparkSession, names: list[str]) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _rename(spark: SparkSession, database: str, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {quoted(database, old)} RENAME TO {quoted(database, new)}")
+
+
+def _swap(spark: SparkSession, database: str, staged: dict[str, str], existing: list[str], run: str) -> None:
+    """Rename old tables aside and staged ones in; on a failure, all the way back."""
+    moves = [(n, f"{n}__old_{run}") for n in existing] + [(s, n) for n, s in staged.items()]
+    done: list[tuple[str, str]] = []
+    try:
+        for old, new in moves:
+            _rename(spark, database, old, new)
+            done.append((old, new))
+    except BaseException:
+        for old, new in reversed(done):
+            _rename(spark, database, new, old)
+        raise
+
+
 def publish(
     spark: SparkSession, raw: dict[str, DataFrame], contract: Contract, database: str = "silver",
     overwrite: bool = False, rates: DataFrame | None = None,
@@ -25,7 +44,9 @@ def publish(
 
     Every table is written to a staging name and checked there: row guards, keys, references
     and validation. Only if nothing fails are the staged tables renamed; else they are dropped
-    and GuardError says why. Existing targets are refused unless overwrite is set.
+    and GuardError says why. Existing targets are refused unless overwrite is set; then they are
+    renamed aside and dropped last, so a failure on the way leaves them as they were. Rows are
+    counted while they are written and once more under their final names.
     """
     refuse_blocked(contract)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
@@ -34,25 +55,25 @@ def publish(
         raise guards.GuardError(f"{guards.TARGET_EXISTS} {', '.join(existing)}")
     run = uuid.uuid4().hex[:12]
     staged = {t.name: f"{t.name}__{run}" for t in contract.tables}
-    names = [quoted(database, s) for s in staged.values()]
+    expected = {}
     try:
         for table in contract.tables:
             guards.check(typed_with_cleaned(raw[table.source], table, contract, rates), table)
+            written = Observation()
             built = transform(raw[table.source], table, contract, rates).select(*target_columns(table))
-            built.write.format("parquet").saveAsTable(f"{database}.{staged[table.name]}")
+            built.observe(written, F.count(F.lit(1)).alias("n")).write.format("parquet").saveAsTable(f"{database}.{staged[table.name]}")
+            expected[table.name] = written.get["n"]
         typed = {name: spark.table(f"{database}.{s}") for name, s in staged.items()}
-        issues = guards.validate_all(typed, contract)
-        failing = issues.where("severity = 'FAIL'").collect()  # one row an issue
+        found = [tuple(r) for r in guards.validate_all(typed, contract).collect()]  # one row an issue
+        failing = [x for x in found if x[-1] == "FAIL"]
         if failing:
-            raise guards.GuardError("\n".join(f"{r.issue_type} {r.table_name}.{r.column_name}: {r.issue_count}" for r in failing))
-        found = [tuple(r) for r in issues.collect()]
+            raise guards.GuardError("\n".join(f"{kind} {table}.{column}: {n}" for table, column, kind, n, *_ in failing))
+        _swap(spark, database, staged, existing, run)
     except BaseException:
-        _drop(spark, names)
+        _drop(spark, [quoted(database, s) for s in staged.values()])
         raise
-    if overwrite:
-        _drop(spark, [quoted(database, n) for n in existing])
-    for name, s in staged.items():
-        spark.sql(f"ALTER TABLE {quoted(database, s)} RENAME TO {quoted(database, name)}")
+    verify(spark, expected, database)
+    _drop(spark, [quoted(database, f"{n}__old_{run}") for n in existing])
     return spark.createDataFrame(found, guards.ISSUE)
 
 

@@ -17,12 +17,17 @@ def clean_stream(raw: DataFrame, table: TableSpec, contract: Contract, rates: Da
 
 
 def write_stream(raw: DataFrame, table: TableSpec, contract: Contract, path: str, checkpoint: str, rates: DataFrame | None = None) -> StreamingQuery:
-    """Guard each micro-batch and append it as parquet; a failing batch stops the query."""
+    """Guard each micro-batch and write it as parquet under its number; a failing batch stops the query.
+
+    A batch that is run again writes over its own folder, so nothing is there twice; reading
+    path gives the numbers as the column batch. Keys are unique within a batch only: across
+    batches, merge by key downstream.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         frame = typed_with_cleaned(batch, table, contract, rates)
         guards.check(frame, table)
-        frame.select(*target_columns(table)).write.mode("append").parquet(path)
+        frame.select(*target_columns(table)).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return raw.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
