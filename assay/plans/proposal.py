@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,36 @@ def propose(tables: dict[str, DataFrame]) -> list[dict]:
     return rows
 
 
+def key_rows(tables: dict[str, DataFrame], primary: dict[str, list[str]]) -> DataFrame:
+    """The quality of every table's proposed key."""
+    return reduce(DataFrame.unionByName, [keys.key_quality(tables[t], k).select(F.lit(t).alias("table_name"), "*") for t, k in primary.items() if k])
+
+
+def as_document(rows: list[dict]) -> dict:
+    """The proposal by table, to be written as JSON."""
+    found: dict = {}
+    for r in rows:
+        table = found.setdefault(r["table_name"], {
+            "silver_table_name": r["silver_table_name"], "row_count": int(r["row_count"]), "duplicate_row_count": int(r["duplicate_row_count"]),
+            "primary_key": [], "columns": {}, "foreign_keys": {},
+        })
+        table["columns"][r["source_column"]] = {"name": r["column_name"], "datatype": r["datatype"], "nullable": r["nullable"] == "True"}
+        if r["is_pk"] == "True":
+            table["primary_key"].append(r["column_name"])
+        if r["is_fk"] == "True":
+            table["foreign_keys"][r["column_name"]] = r["fk_reference"]
+    return found
+
+
+def describe(rows: list[dict]) -> str:
+    """The proposal as readable text: keys, then columns, table by table."""
+    lines = []
+    for name, t in as_document(rows).items():
+        lines.append(f"{name} -> {t['silver_table_name']}: {t['row_count']} rows, {t['duplicate_row_count']} in exact duplicates, key: {' + '.join(t['primary_key']) or 'none found'}")
+        lines += [f"  {c}: {x['datatype']}{'' if x['nullable'] else ' not null'}" + (f", references {fk}" if (fk := t["foreign_keys"].get(x["name"])) else "") for c, x in t["columns"].items()]
+    return "\n".join(lines) + "\n"
+
+
 def as_frame(spark, rows: list[dict]) -> DataFrame:
     frame = spark.createDataFrame(rows) if rows else None
     return frame.select(*[F.col(c) for c in rows[0]]) if rows else spark.range(0).select()

@@ -478,11 +478,6 @@ def status_rollup(spark, sf_dir):
 _CHANGED = f"price <> coalesce(CASE WHEN lower(trim(price)) NOT IN {_MARKERS} THEN price END, '') OR status IS DISTINCT FROM CASE lower(trim(status)) WHEN 'o' THEN 'Open' WHEN 'f' THEN 'Final' WHEN 'p' THEN 'Pending' ELSE trim(status) END OR priority <> trim(priority) OR currency IS DISTINCT FROM {_code('currency')}"
 
 
-@query(f"SELECT 'orders' AS table_name, count(*) AS input_rows, count(*) FILTER (WHERE {_CHANGED}) AS changed_rows, (SELECT count(*) FROM ({_SILVER}) s) AS output_rows FROM {_ORDERS} o")
-def before_after(spark, sf_dir):
-    return transform.before_after(_orders(spark, sf_dir), ORDER_TABLE, CONTRACT).select("table_name", "input_rows", "changed_rows", "output_rows")
-
-
 @query(f"""SELECT left(sha1(concat_ws(chr(31), 'orders_raw', column_name, 'TEXT_VARIANT', concat('Normalized value: ', variant_key))), 12) AS issue_id, column_name, variant_key
     FROM (SELECT column_name, {_key('value')} AS variant_key, count(*) AS c FROM {_ORDER_COUNTS} x WHERE NOT {_missing('value')} GROUP BY 1, 2) k WHERE c > 1""")
 def issue_ids(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assay.operators import fx, guards, keys, profile, reviews, transform
 from assay.plans import contract as c
-from assay.plans.proposal import propose
+from assay.plans.proposal import as_document, describe, propose
 from assay.sources import files, publish
 from assay.streaming import cleaning
 
@@ -161,6 +161,7 @@ def test_proposal_and_reviews(spark, tmp_path):
     found = {(r["table_name"], r["source_column"]): r for r in rows}
     assert found["people_raw", "person_id"]["is_pk"] == "True"
     assert found["sales_raw", "person_id"]["fk_reference"] == "people_raw.person_id"
+    assert as_document(rows)["sales_raw"]["foreign_keys"] == {"person_id": "people_raw.person_id"} and "key: person_id" in describe(rows)
     files.write_review(tmp_path / "s.csv", rows, list(rows[0]))
     assert files.read_review(tmp_path / "s.csv") == rows and (tmp_path / "s.csv").read_bytes()[:3] == b"\xef\xbb\xbf"
     files.write_json(tmp_path / "c.json", c.compile_contract(SCHEMA, DECISIONS, RULES).to_dict())
