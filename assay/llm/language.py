@@ -12,28 +12,20 @@ from assay.llm.common import crc_mod, identified, map_batches, values
 DIMENSIONS = 512
 LETTERS = 3
 SEED = 20240501
-#: Letters have codes 1 to 63 (0 is what lies between words); those beyond a-z share by rule.
-CODES = 64
-
-
-def letter_vectors(dimensions: int = DIMENSIONS) -> np.ndarray:
-    """A random vector of -1 and 1 for each letter code, and for each place in an n-gram the
-    letter vectors permuted so often: [place, code, dimension]."""
-    random = np.random.default_rng(SEED)
-    letters = random.choice(np.array([-1, 1], dtype=np.int8), size=(CODES, dimensions))
-    turn = random.permutation(dimensions)
-    places = [letters]
-    for _ in range(LETTERS - 1):
-        places.append(places[-1][:, turn])
-    return np.stack(places[::-1])
+#: A letter's code takes so many bits of an n-gram: room for every code point.
+BITS = 21
+#: Codes of a-z are 1 to 26 and 0 is what lies between words; n-grams of these have a table.
+PLAIN = 27
+#: N-grams that are bound at once, to bound memory.
+AT_ONCE = 8192
 
 
 def code_table() -> np.ndarray:
-    """The code of every character: 0 if it isn't a letter."""
-    codes = np.zeros(0x110000, dtype=np.uint8)
-    for c in range(0x80, 0x30000):
+    """The code of every character: 0 if it isn't a letter, 1 to 26 for a-z, else its code point."""
+    codes = np.zeros(0x110000, dtype=np.int32)
+    for c in range(0x80, 0x110000):
         if chr(c).isalpha():
-            codes[c] = 27 + c % (CODES - 27)
+            codes[c] = c
     for i, c in enumerate("abcdefghijklmnopqrstuvwxyz"):
         codes[ord(c)] = codes[ord(c.upper())] = i + 1
     return codes
@@ -45,52 +37,99 @@ def ngrams(text: str | None, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     letters = codes[points]
     if not letters.any():
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    letters = np.r_[np.uint8(0), letters, np.uint8(0)]
-    letters = letters[np.r_[True, (letters[1:] != 0) | (letters[:-1] != 0)]].astype(np.int32)
-    grams = np.zeros(max(0, len(letters) - LETTERS + 1), dtype=np.int32)
+    gap = np.zeros(1, dtype=np.int32)
+    letters = np.concatenate([gap, letters, gap])
+    letters = letters[np.r_[True, (letters[1:] != 0) | (letters[:-1] != 0)]].astype(np.int64)
+    grams = np.zeros(max(0, len(letters) - LETTERS + 1), dtype=np.int64)
     for i in range(LETTERS):
-        grams = grams * CODES + letters[i : len(letters) - LETTERS + 1 + i]
-    if len(grams) > 50_000:
-        counts = np.bincount(grams)
-        there = np.flatnonzero(counts)
-        return there, counts[there]
+        grams = (grams << BITS) | letters[i : len(letters) - LETTERS + 1 + i]
     return np.unique(grams, return_counts=True)
 
 
-def bound(grams: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """N-gram vectors: the permuted letter vectors multiplied."""
-    out = np.ones((len(grams), vectors.shape[2]), dtype=np.int8)
-    for place in range(LETTERS):
-        out *= vectors[place][(grams // CODES ** (LETTERS - 1 - place)) % CODES]
-    return out
+def letters_of(grams: np.ndarray) -> list[np.ndarray]:
+    """The letter codes of n-grams, by place."""
+    return [(grams >> (BITS * (LETTERS - 1 - place))) & ((1 << BITS) - 1) for place in range(LETTERS)]
+
+
+class Vectors:
+    """Random vectors of letters and n-grams; each letter's is drawn anew anywhere from its code."""
+
+    def __init__(self, dimensions: int = DIMENSIONS) -> None:
+        self.dimensions = dimensions
+        self.turn = np.random.default_rng(SEED).permutation(dimensions)
+        self._known: dict[int, np.ndarray] = {}
+        self._table: np.ndarray | None = None
+
+    def letter(self, code: int) -> np.ndarray:
+        """A vector of -1 and 1."""
+        if code not in self._known:
+            if len(self._known) > 100_000:
+                self._known.clear()
+            self._known[code] = np.random.default_rng((SEED, code)).integers(0, 2, self.dimensions, dtype=np.int8) * 2 - 1
+        return self._known[code]
+
+    def bound(self, grams: np.ndarray) -> np.ndarray:
+        """N-gram vectors: the letters' vectors, permuted once for each place that follows, multiplied."""
+        out = np.ones((len(grams), self.dimensions), dtype=np.int8)
+        for place, codes in enumerate(letters_of(grams)):
+            known, which = np.unique(codes, return_inverse=True)
+            drawn = np.stack([self.letter(int(c)) for c in known]) if len(known) else np.zeros((0, self.dimensions), dtype=np.int8)
+            for _ in range(LETTERS - 1 - place):
+                drawn = drawn[:, self.turn]
+            out *= drawn[which]
+        return out
+
+    def _plain(self) -> np.ndarray:
+        """Vectors of all n-grams of a-z and gaps: a table of fixed size."""
+        if self._table is None:
+            places = np.indices((PLAIN,) * LETTERS).reshape(LETTERS, -1).astype(np.int64)
+            grams = np.zeros(places.shape[1], dtype=np.int64)
+            for codes in places:
+                grams = (grams << BITS) | codes
+            self._table = self.bound(grams).astype(np.float32)
+        return self._table
+
+    def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sum of n-gram vectors by their counts."""
+        codes = letters_of(grams)
+        plain = np.logical_and.reduce([c < PLAIN for c in codes])
+        total = np.zeros(self.dimensions)
+        places = np.zeros(len(grams), dtype=np.int64)
+        for c in codes:
+            places = places * PLAIN + c
+        for part in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            for i in range(0, len(part), AT_ONCE):
+                chosen = part[i : i + AT_ONCE]
+                vectors = self._plain()[places[chosen]] if plain[chosen[0]] else self.bound(grams[chosen]).astype(np.float32)
+                total += counts[chosen].astype(np.float32) @ vectors
+        return total
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """Languages and their prototypes: bundled n-gram vectors of all texts with a language.
 
     Each batch adds up its n-grams by language and bundles them once; the sums of the bundles
-    are what leaves the tasks: one vector for each language and batch.
+    are what leaves the tasks: one vector for each language and batch. Null languages and texts
+    are left out, and texts without letters add nothing; repeated rows count each; without any
+    text there are no languages.
     """
-    context = docs.sparkSession.sparkContext
-    sent = context.broadcast((code_table(), letter_vectors(dimensions)))
+    sent = docs.sparkSession.sparkContext.broadcast(code_table())
 
     def per_batch(batch):
-        codes, vectors = sent.value
-        sums: dict[str, np.ndarray] = {}
+        vectors = Vectors(dimensions)
+        found: dict[str, list] = {}
         for lang, text in zip(values(batch, "lang"), values(batch, "text")):
-            if lang not in sums:
-                sums[lang] = np.zeros(CODES**LETTERS, dtype=np.int64)
-            grams, counts = ngrams(text, codes)
-            sums[lang][grams] += counts
+            found.setdefault(lang, []).append(ngrams(text, sent.value))
         out = {"lang": [], "at": [], "total": []}
-        for lang, counts in sums.items():
-            bundle = np.zeros(vectors.shape[2], dtype=np.int64)
-            there = np.flatnonzero(counts)
-            for i in range(0, len(there), 8192):
-                part = there[i : i + 8192]
-                bundle += np.rint(counts[part].astype(np.float64) @ bound(part, vectors)).astype(np.int64)
-            out["lang"] += [lang] * len(bundle)
-            out["at"] += range(len(bundle))
+        for lang, each in found.items():
+            grams, which = np.unique(np.concatenate([g for g, _ in each]), return_inverse=True)
+            counts = np.bincount(which, np.concatenate([c for _, c in each]), len(grams))
+            bundle = np.zeros(dimensions, dtype=np.int64)
+            for i in range(0, len(grams), AT_ONCE):
+                part = slice(i, i + AT_ONCE)
+                bundle += np.rint(counts[part] @ vectors.bound(grams[part]).astype(np.float64)).astype(np.int64)
+            out["lang"] += [lang] * dimensions
+            out["at"] += range(dimensions)
             out["total"] += bundle.tolist()
         return out
 
@@ -116,28 +155,21 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     """
     names, prototypes = model
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast((code_table(), letter_vectors(prototypes.shape[1]), prototypes.astype(np.float32)))
+    sent = context.broadcast((code_table(), prototypes.astype(np.float32)))
+    made: dict[int, Vectors] = {}
 
     def per_batch(batch):
-        codes, vectors, known = sent.value
+        codes, known = sent.value
+        vectors = made.setdefault(known.shape[1], Vectors(known.shape[1]))
         langs, scores = [], []
-        cache = np.full(CODES**LETTERS, -1, dtype=np.int32)
-        table, used = np.zeros((1024, vectors.shape[2]), dtype=np.float32), 0
         for text in values(batch, "text"):
             grams, counts = ngrams(text, codes)
             if not len(grams) or not names:
                 langs.append("und")
                 scores.append(0.0)
                 continue
-            fresh = grams[cache[grams] < 0]
-            if len(fresh):
-                if used + len(fresh) > len(table):
-                    table = np.concatenate([table, np.zeros((max(len(table), len(fresh)), vectors.shape[2]), dtype=np.float32)])
-                table[used : used + len(fresh)] = bound(fresh, vectors)
-                cache[fresh] = np.arange(used, used + len(fresh))
-                used += len(fresh)
-            bundle = counts.astype(np.float32) @ table[cache[grams]]
-            cosines = known @ (bundle / max(float(np.linalg.norm(bundle)), 1e-9))
+            bundle = vectors.bundle(grams, counts)
+            cosines = known @ (bundle / max(float(np.linalg.norm(bundle)), 1e-9)).astype(np.float32)
             best = int(cosines.argmax())
             langs.append(names[best])
             scores.append(float(min(1.0, max(0.0, cosines[best]))))

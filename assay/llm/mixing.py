@@ -77,13 +77,14 @@ def slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
 def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, part, at, start): every row's place in its source's shuffled tokens.
 
-    Sources are shuffled by MD5 of the id; rows that tie are alike or ordered by size. Running
+    Sources are shuffled by MD5 of the id, rows without one by MD5 of the text, so that they don't
+    all meet in one task; rows that tie are alike or ordered by size. Running
     sums go by source and leading hash digits, then over the digits' totals, so no task holds
     a whole source.
     """
     size = F.coalesce(F.regexp_count("text", F.lit("[^ \t-\r]+")), F.lit(0)).cast("bigint")
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    sized = sized.select("doc_id", "source", size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
+    sized = sized.select("doc_id", "source", size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), "text", F.lit("")).cast("binary")).alias("h"))
     sized = sized.withColumn("part", F.substring("h", 1, SPLIT))
     rows = Window.partitionBy("source", "part").orderBy("h", "size")
     inner = sized.withColumn("at", F.row_number().over(rows)).withColumn(
@@ -135,7 +136,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def taken(pieces: DataFrame) -> DataFrame:
-    """One row per document row of a mix: how many of its tokens the slots take."""
+    """One row per document row of a mix: how many of its tokens the slots take.
+
+    Rows with null ids or sources and repeated rows each give a row, known by their place in the
+    shuffle; an empty mix gives an empty result.
+    """
     row = ["source", "part", "at", "doc_id", "size", "source_size", "target"]
     total = F.sum(F.when(F.col("slot").isNotNull(), F.col("tokens")).otherwise(0)).alias("taken")
     return pieces.groupBy(*row).agg(total).select("doc_id", "source", "size", "source_size", "target", "taken")

@@ -21,7 +21,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-_PHRASES = "all rights reserved|licensed under|released under|terms of use|terms of service|privacy policy|cookie|javascript|click here|read more|sign in|sign up|log in|login|subscribe|lorem ipsum|copyright"
+#: Phrases of notices, and such as hint at boilerplate.
+_NOTICES = "all rights reserved|terms of use|terms of service|privacy policy|uses cookies|use cookies|click here|read more|lorem ipsum"
+_HINTS = "licensed under|released under|cookie|cookies|javascript|sign in|sign up|log in|login|subscribe|copyright"
+_LOW = "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _phrase_words(phrases: str) -> str:
+    """How many words of a line lie in these phrases."""
+    return f"coalesce(list_sum(list_transform(regexp_extract_all({_LOW}, '\\b(?:{phrases})\\b'), lambda x: len(string_split(x, ' ')))), 0)"
+
+
 _UNSPACED = r"regexp_extract_all(line, '[^\x20\x09-\x0D]+')"
 
 
@@ -41,7 +51,8 @@ line AS (SELECT *, len(lw) AS n FROM (SELECT doc_id, pos, line, {_UNSPACED} AS l
     (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos FROM doc)) WHERE len(lw) > 0),
 judged AS (SELECT doc_id, n, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again,
     {_DIVIDED} >= greatest(2, n / 6)
-    OR regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\\b(?:{_PHRASES})\\b')
+    OR {_phrase_words(_NOTICES)} > 0 AND 8 * {_phrase_words(_NOTICES)} >= n
+    OR 3 * {_phrase_words(_NOTICES + "|" + _HINTS)} > n
     OR n >= 3 AND {_count("line", _MARKS)} >= 0.3::DOUBLE * n
     OR n >= 5 AND {_count("line", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")} > 2 * ({_count("line", "abcdefghijklmnopqrstuvwxyz")})
     OR n >= 6 AND 2 * {_ADJACENT} >= n - 1 AS fails FROM line),

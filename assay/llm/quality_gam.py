@@ -193,13 +193,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, la
     known = known.where(~held_out("id")).groupBy("id").agg(F.max("y").alias("y"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     frame = identified(docs, "doc_id", "text")
-    chosen = frame.join(F.broadcast(sample), frame.doc_id == sample.id).select("text", "y")
+    chosen = frame.join(F.broadcast(sample), frame.doc_id == sample.id).select("id", "text", "y")
 
     def per_batch(batch):
         return {"x": [features(t) for t in text_bytes(batch)], "y": values(batch, "y")}
 
-    # As many rows as the sample at most, but for repeated ids: the limit holds for them too.
-    rows = map_batches(chosen, per_batch, "x array<double>, y double").limit(sample_rows).toPandas()
+    # One row an id, so no more than the sample: of several texts of an id the largest counts.
+    once = chosen.groupBy("id").agg(F.max("text").alias("text"), F.max("y").alias("y")).select("text", "y")
+    rows = map_batches(once, per_batch, "x array<double>, y double").toPandas()
     x = np.array(rows["x"].tolist(), dtype=np.float64).reshape(-1, len(FEATURES))
     order = np.lexsort(x.T) if len(x) else []
     return fit(x[order], rows["y"].to_numpy(dtype=np.float64)[order])

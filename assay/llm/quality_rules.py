@@ -24,13 +24,18 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _MARKS = b"!?#*$%&<>{}\\^~=_"
 _DIVIDERS = tuple(f" {c} ".encode() for c in "|>/»·•")
-#: Phrases of boilerplate lines, matched at word limits whatever their case.
-_PHRASES = (
-    b"all rights reserved", b"licensed under", b"released under", b"terms of use", b"terms of service",
-    b"privacy policy", b"cookie", b"javascript", b"click here", b"read more", b"sign in", b"sign up",
-    b"log in", b"login", b"subscribe", b"lorem ipsum", b"copyright",
+#: Phrases that a notice consists of, and such as also stand in plain sentences; matched at word
+#: limits whatever their case.
+_NOTICES = (
+    b"all rights reserved", b"terms of use", b"terms of service", b"privacy policy", b"uses cookies", b"use cookies",
+    b"click here", b"read more", b"lorem ipsum",
 )
+_HINTS = (b"licensed under", b"released under", b"cookie", b"cookies", b"javascript", b"sign in", b"sign up", b"log in", b"login", b"subscribe", b"copyright")
+_PHRASES = _NOTICES + _HINTS
+_NOTICE = re.compile(rb"\b(?:" + b"|".join(_NOTICES) + rb")\b")
 _BOILERPLATE = re.compile(rb"\b(?:" + b"|".join(_PHRASES) + rb")\b")
+#: A line is boilerplate if notices are an eighth of its words, or all phrases over a third.
+NOTICE_SHARE, PHRASE_SHARE = 8, 3
 
 
 def count_of(text: bytes, characters: bytes) -> int:
@@ -38,12 +43,19 @@ def count_of(text: bytes, characters: bytes) -> int:
     return len(text) - len(text.translate(None, characters))
 
 
+def is_boilerplate(line: bytes, n: int) -> bool:
+    """Whether phrases make up so much of a line of n words; one phrase in a long line is no boilerplate."""
+    lowered = line.lower()
+    words = [sum(m.count(b" ") + 1 for m in pattern.findall(lowered)) for pattern in (_NOTICE, _BOILERPLATE)]
+    return words[0] > 0 and NOTICE_SHARE * words[0] >= n or PHRASE_SHARE * words[1] > n
+
+
 def line_fails(line: bytes, words: list[bytes], phrases: bool = True) -> str:
     """Name of the first rule that a line fails, or an empty string."""
     n = len(words)
     if sum(map(line.count, _DIVIDERS)) >= max(2, n / 6):
         return "navigation"
-    if phrases and _BOILERPLATE.search(line.lower()):
+    if phrases and is_boilerplate(line, n):
         return "boilerplate"
     if n >= 3 and count_of(line, _MARKS) >= 0.3 * n:
         return "punctuation"
@@ -131,8 +143,11 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def clean(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """The documents that pass, all columns kept, their text without the failing lines.
 
-    chars_col, where given, gets the new text's length. Null texts don't pass.
+    chars_col, where docs has it, gets the new text's length. Null and empty texts don't pass;
+    repeated rows pass or go alike; an empty table stays empty.
     """
+    if chars_col not in docs.columns:
+        chars_col = None
 
     def per_batch(batch):
         rows = [judge(t) for t in text_bytes(batch, text_col)]

@@ -104,20 +104,20 @@ class Windows:
 
 
 def _met_here(windows: Windows, cell_key: np.ndarray, key: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that two rows of the batch hold are found; one place of them is sent, a
-    reference block if any is one. All places of the others are sent."""
+    """Windows that two rows of the batch hold, one of them as a reference block, are found; one
+    such block of them is sent. All places of the others are sent."""
     order = np.argsort(cell_key)
     _, n = _runs(cell_key[order])
     first = np.cumsum(n) - n
     row = np.array(windows.rows, dtype=np.int64)[owner[order]]
     shared = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
-    found = np.zeros(len(at), dtype=bool)
-    found[order] = np.repeat(shared, n)
     place = np.where(at[order] % BLOCK == 0, np.arange(len(at)), len(at))
     block = np.minimum.reduceat(place, first)
-    chosen = np.where(block < len(at), block, first)[shared]
+    settled = shared & (block < len(at))
+    found = np.zeros(len(at), dtype=bool)
+    found[order] = np.repeat(settled, n)
     sent = ~found
-    sent[order[chosen]] = True
+    sent[order[block[settled]]] = True
     return sent, found
 
 

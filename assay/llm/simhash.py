@@ -9,15 +9,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import discard, identified, map_batches, saved, space_words, text_bytes, values
+from assay.llm.common import discard, identified, map_batches, perhaps_among, row_hash, saved, space_words, text_bytes, unused, values
 
 SEED = 42
 MAX_BITS = 3
-#: Bits of the six parts that a fingerprint is cut into; three differing bits leave three parts alone.
-PARTS = (11, 11, 11, 11, 10, 10)
+#: Bits of the five parts that a fingerprint is cut into; three differing bits leave two parts alone.
+PARTS = (13, 13, 13, 13, 12)
 #: Reference fingerprints of the pivot table: fixed, spread over the space of 64 bits.
 PIVOTS = 16
-#: A key with more fingerprints than this is linked through shared neighbours instead of pairs.
+#: Width of the ranges of a pivot's distances, and the pivots whose ranges are part of a key: at
+#: first, and where a key is crowded.
+RANGE = 8
+FIRST_PIVOTS, MORE_PIVOTS = (0, 1), (2, 3, 4, 5)
+#: A key with more fingerprints than this is divided by more pivots, and if still so crowded linked
+#: through shared neighbours instead of pairs.
 PAIR_LIMIT = 256
 
 
@@ -43,8 +48,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         prints = [fingerprint(t) for t in text_bytes(batch)]
         return {"doc_id": values(batch, "doc_id"), "row": values(batch, "row"), "fp": prints}
 
-    frame = identified(docs, id_col, text_col).withColumn("row", F.xxhash64(F.lit(1), "doc_id", "text"))
-    return map_batches(frame, per_batch, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, row bigint, fp bigint")
+    frame = identified(docs, id_col, text_col).withColumn("row", row_hash("doc_id", "text"))
+    return map_batches(frame, per_batch, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, row binary, fp bigint")
 
 
 def pivots(count: int = PIVOTS) -> list[int]:
@@ -58,7 +63,7 @@ def pivot_table(fps: DataFrame) -> DataFrame:
 
 
 def _keys(fp: Column) -> Column:
-    """One key for each choice of three parts: which parts, and their bits."""
+    """One key for each choice of two parts: which parts, and their bits."""
     ends = np.cumsum(PARTS)
     masks = [((1 << n) - 1) << int(end - n) for n, end in zip(PARTS, ends)]
     keys = []
@@ -68,6 +73,43 @@ def _keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
+def _cells(at: Column, which: tuple[int, ...]) -> Column:
+    """Numbers of the cells of a grid over some pivots' distances that a fingerprint may share.
+
+    A fingerprint lies in the range of its distance and in that of its distance and three more.
+    Of two within three bits, the nearer one reaches the range of the other, for each pivot; so
+    they share a cell, and what is shared is an equality key. Most lie in one range only.
+    """
+    base = 64 // RANGE + 1
+
+    def with_range_of(cells: Column, i: int) -> Column:
+        low, high = (F.floor((at[i] + more) / RANGE).cast("int") for more in (0, MAX_BITS))
+        both = lambda x: F.when(low == high, F.array(x * base + low)).otherwise(F.array(x * base + low, x * base + high))
+        return F.flatten(F.transform(cells, both))
+
+    cells = F.array(F.lit(0))
+    for i in which:
+        cells = with_range_of(cells, i)
+    return cells
+
+
+def _met(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """keyed with `n`, how many share its keys; those that are alone go, mostly before any join."""
+    name = F.xxhash64(*keys)
+    sizes = saved(keyed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").withColumn("name", name))
+    near = perhaps_among(keyed.withColumn("name", name), "name", sizes, "name", "near").where("near")
+    return near.drop("near", "name").join(sizes.drop("name"), keys)
+
+
+def _pairs(met: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs (a, b) of a key that pivots don't discard and that are within MAX_BITS."""
+    one = met.select(*keys, "fp", "at")
+    other = met.select(*keys, F.col("fp").alias("b"), F.col("at").alias("bt"))
+    apart = F.greatest(*[F.abs(F.col("at")[i] - F.col("bt")[i]) for i in range(PIVOTS)])
+    found = one.join(other, keys).where((F.col("fp") < F.col("b")) & (apart <= MAX_BITS))
+    return found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= MAX_BITS).select(F.col("fp").alias("a"), "b")
+
+
 def _links_by_neighbour(fps: DataFrame) -> DataFrame:
     """All links among fps without pairs: a pair within three bits has a point within one bit
     of one and two bits of the other, and all around one such point are in one component."""
@@ -86,27 +128,27 @@ def _links_by_neighbour(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints that join all those within three bits.
 
-    Pivot distances alone can't be an equality key (any two random fingerprints are close in
-    most coordinates), so candidates first agree in three of six parts, which three differing
-    bits can't avoid; those whose pivot coordinates differ by more than three anywhere go, as
-    the triangle inequality allows; the rest are verified. Keys that more than pair_limit
-    fingerprints share are linked exactly through neighbours, in linear work.
+    The pivot table selects candidates: fingerprints meet that agree in two of five parts, which
+    three differing bits can't avoid, and share a cell of the grid over the first pivots'
+    distances. (Cells alone would not do: two random fingerprints are close in most coordinates.)
+    Keys that more than pair_limit share are divided by the cells of further pivots. Pairs whose
+    distances to any pivot differ by more than three go, as the triangle inequality allows; the
+    rest are verified. What is crowded still is linked exactly through neighbours, in linear work.
     """
     table = pivot_table(fps.select("fp").distinct())
-    keyed = table.select("fp", "at", F.explode(_keys(F.col("fp"))).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    left = keyed.join(sizes, "key")
-    small = left.where(F.col("n") <= pair_limit).select("key", "fp", "at")
-    other = small.select("key", F.col("fp").alias("b"), F.col("at").alias("bt"))
-    apart = F.greatest(*[F.abs(F.col("at")[i] - F.col("bt")[i]) for i in range(PIVOTS)])
-    pairs = (
-        small.join(other, (small.key == other.key) & (F.col("fp") < F.col("b")) & (apart <= MAX_BITS))
-        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= MAX_BITS)
-        .select(F.col("fp").alias("a"), "b")
-        .distinct()
-    )
-    crowded = left.where(F.col("n") > pair_limit).select("fp").distinct()
-    return pairs.unionByName(_links_by_neighbour(crowded)) if pair_limit else _links_by_neighbour(table.select("fp"))
+    if not pair_limit:
+        return _links_by_neighbour(table.select("fp"))
+    cells = table.select("fp", "at", _cells(F.col("at"), FIRST_PIVOTS).alias("cells"), F.explode(_keys(F.col("fp"))).alias("key"))
+    keyed = cells.select("fp", "at", "key", F.explode("cells").alias("cell"))
+    met = saved(_met(keyed, ["key", "cell"]))
+    pairs = _pairs(met.where(F.col("n") <= pair_limit), ["key", "cell"])
+    crowded = met.where(F.col("n") > pair_limit).drop("n")
+    if not crowded.isEmpty():
+        divided = crowded.withColumn("fine", F.explode(_cells(F.col("at"), MORE_PIVOTS)))
+        again = saved(_met(divided, ["key", "cell", "fine"]))
+        pairs = pairs.unionByName(_pairs(again.where(F.col("n") <= pair_limit), ["key", "cell", "fine"]))
+        pairs = pairs.unionByName(_links_by_neighbour(again.where(F.col("n") > pair_limit).select("fp").distinct()))
+    return pairs.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -159,10 +201,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """The documents with the smallest id of their component (null ids last), all columns kept.
 
-    Of repeated rows, one stays.
+    Null and empty texts are one component; of repeated rows, one stays; an empty table stays
+    empty.
     """
     prints = saved(fingerprints(docs, id_col, text_col))
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    first = _components_of(prints, order, pair_limit).select(F.col("first.row").alias("__row")).distinct()
-    row = F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col).cast("string"))
-    return docs.withColumn("__row", row).join(first, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    name = unused(docs, "__row")
+    first = _components_of(prints, order, pair_limit).select(F.col("first.row").alias(name)).distinct()
+    row = row_hash(F.col(id_col), F.col(text_col).cast("string"))
+    return docs.withColumn(name, row).join(first, name, "left_semi").dropDuplicates([name]).drop(name)
