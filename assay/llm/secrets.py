@@ -173,10 +173,10 @@ def masked(text: Column, blocks: Column, spans: Column, mask: str) -> Column:
     ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text)))
 
     def part(g: Column) -> Column:
-        first = F.floor(g["a"] / _CUT).cast("int")
-        last = F.floor(g["b"] / _CUT).cast("int")
-        within = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
-        return within.substr(g["a"] - first * _CUT + 1, g["b"] - g["a"])
+        first, last = (F.floor(g[x] / _CUT).cast("int") for x in "ab")
+        # Two mentions of the blocks: what is mentioned once Spark would compute anew for each part.
+        within = F.when(first == last, F.get(blocks, first)).otherwise(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""))
+        return F.coalesce(within.substr(g["a"] - first * _CUT + 1, g["b"] - g["a"]), F.lit(""))
 
     parts = F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), part)
     return F.when(F.size(spans) > 0, F.array_join(parts, mask)).otherwise(text)
