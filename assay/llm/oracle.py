@@ -126,4 +126,60 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_decontamination": OP1, "op2_quality_rules": OP2, "op5_secrets": OP5, "op8_mixing": OP8, "op10_repeats": OP10}
+_LETTERS = rf"regexp_extract_all(coalesce({_LOWERED}, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _share(n: str, total: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({n} + 5)) // ({total} + 5 * v)"
+
+
+OP11 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS} AS w FROM documents),
+occ AS (SELECT r, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+size AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM occ SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+tot AS (SELECT lang, source, coalesce(sum(c), 0) AS total FROM grp LEFT JOIN cnt USING (lang, source) GROUP BY lang, source),
+p AS (SELECT k.lang, t.source, k.term, coalesce(c, 0) AS c, {_share("coalesce(c, 0)", "t.total")} AS p, {_share("n", "s.total")} AS q
+    FROM tot t JOIN kept k ON k.lang = t.lang JOIN size s ON s.lang = t.lang LEFT JOIN cnt ON cnt.lang = t.lang AND cnt.source = t.source AND cnt.term = k.term),
+apart AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL),
+part AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM part)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+_USABLE = "list_bool_and(list_transform({0}, lambda x: x IS NOT NULL AND isfinite(x)))"
+_SQUARED = "list_sum(list_transform(range(1, 65), lambda i: (a.e[i] - c.e[i]) * (a.e[i] - c.e[i])))"
+
+
+def _op12(rounds: int = 10) -> str:
+    steps = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+    WHERE len(embedding) = 64 AND {_USABLE.format("embedding")})""",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, e) - 1 AS c, e FROM (SELECT sha256('3:' || vec_id) AS h, e FROM v WHERE vec_id IS NOT NULL ORDER BY h, e LIMIT 8))",
+    ]
+    for i in range(rounds + 1):
+        near = f"min(CAST({_SQUARED} AS HUGEINT) * 8 + c.c)"
+        steps.append(f"a{i} AS MATERIALIZED (SELECT r, CAST(near % 8 AS INTEGER) AS c, CAST(near // 8 AS BIGINT) AS d FROM (SELECT r, {near} AS near FROM v a, c{i} c GROUP BY r))")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN (SELECT c, list(x ORDER BY place) AS e FROM
+    (SELECT c, place, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM (SELECT c, unnest(range(1, 65)) AS place, unnest(e) AS x FROM v JOIN a{i} USING (r)) GROUP BY c, place) GROUP BY c) m ON m.c = c.c)""")
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, a.c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c.e, ',')) AS centroid_sha256 FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.c = a.c
+"""
+
+
+OP13 = f"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE {_USABLE.format("embedding")} AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+scored AS (SELECT q.r, q.vec_id AS query_id, c.r AS other, c.vec_id, list_dot_product(q.e, c.e) AS score FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS FIRST, other) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op1_decontamination": OP1, "op2_quality_rules": OP2, "op5_secrets": OP5, "op8_mixing": OP8, "op10_repeats": OP10, "op11_divergence": OP11, "op12_clusters": _op12(), "op13_neighbours": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontamination, html_text, language, licenses, mixing, quality_gam, quality_rules, repeats, secrets, simhash
+from assay.llm import decontamination, divergence, html_text, kmeans, language, licenses, mixing, neighbours, quality_gam, quality_rules, repeats, secrets, simhash
 from assay.llm.common import read
 from assay.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -60,10 +60,23 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality_rules, op3_quality_gam, op4_simhash, op5_secrets,
         op6_language, op7_licenses, op8_mixing, op9_html_text, op10_repeats,
+        op11_divergence, op12_clusters, op13_neighbours,
     )
 }
