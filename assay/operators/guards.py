@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.config import KEY_LENGTH
@@ -31,37 +32,53 @@ def too_long(column: str):
     return F.octet_length(F.encode(F.col(column), "UTF-16LE")) > 2 * KEY_LENGTH
 
 
-def guard_counts(frame: DataFrame, table: TableSpec) -> DataFrame:
-    """(code, column_name, bad_rows) of all row guards, counted in one pass over
-    transform.typed_with_cleaned(), and of repeated keys in one
-    grouping, after exact duplicates go where that is approved."""
-    counters = []
+def row_guards(table: TableSpec) -> list[tuple[str, str, Column]]:
+    """(code, column, whether a row breaks it) over transform.typed_with_cleaned()."""
+    found = []
     keyed = set(table.primary_key) | {fk.column for fk in table.foreign_keys}
     for c in table.columns:
         if c.datatype != "string":
-            counters.append((DATATYPE, c.name, F.col(CLEANED + c.name).isNotNull() & F.col(c.name).isNull()))
+            found.append((DATATYPE, c.name, F.col(CLEANED + c.name).isNotNull() & F.col(c.name).isNull()))
         elif c.name in keyed:
-            counters.append((KEY_TOO_LONG, c.name, too_long(c.name)))
+            found.append((KEY_TOO_LONG, c.name, F.coalesce(too_long(c.name), F.lit(False))))
         if not c.nullable:
-            counters.append((NOT_NULL, c.name, F.col(c.name).isNull()))
+            found.append((NOT_NULL, c.name, F.col(c.name).isNull()))
         if c.name in table.primary_key:
-            counters.append((KEY_NULL, c.name, F.col(c.name).isNull()))
+            found.append((KEY_NULL, c.name, F.col(c.name).isNull()))
     for c in table.conversions:
         missing = F.col(c.amount_column).isNotNull() & F.col(c.currency_column).isNotNull() & F.col(c.rate_output_column).isNull()
-        counters.append((MISSING_RATE, c.rate_output_column, missing))
+        found.append((MISSING_RATE, c.rate_output_column, missing))
+    return found
+
+
+def repeated_keys(rows: DataFrame, table: TableSpec) -> DataFrame:
+    """One row (code, column_name, bad_rows): how many keys of a typed table occur more than once."""
+    twice = rows.groupBy(*table.primary_key).agg(F.count("*").alias("n")).where("n > 1")
+    return twice.agg(F.lit(KEY_TWICE).alias("code"), F.lit("+".join(table.primary_key)).alias("column_name"), F.count("*").alias("bad_rows"))
+
+
+def guard_counts(frame: DataFrame, table: TableSpec) -> DataFrame:
+    """(code, column_name, bad_rows) of all row guards, counted in one pass over
+    transform.typed_with_cleaned(), and of repeated keys in one
+    grouping, after exact duplicates go where that is approved."""
+    counters = row_guards(table)
     row = frame.agg(*[F.count_if(bad).alias(f"g{i}") for i, (_, _, bad) in enumerate(counters)])
     named = [F.struct(F.lit(code).alias("code"), F.lit(name).alias("column_name"), F.col(f"g{i}").alias("bad_rows")) for i, (code, name, _) in enumerate(counters)]
     out = row.select(F.inline(F.array(*named)))
     if table.primary_key:
-        rows = frame.select(*target_columns(table))
-        if table.fixes("EXACT_DUPLICATE", "REMOVE_EXACT_DUPLICATES"):
-            rows = rows.distinct()
-        twice = rows.groupBy(*table.primary_key).agg(F.count("*").alias("n")).where("n > 1")
-        keys = twice.agg(F.lit(KEY_TWICE).alias("code"), F.lit("+".join(table.primary_key)).alias("column_name"), F.count("*").alias("bad_rows"))
-        out = out.unionByName(keys)
+        rows = without_exact_duplicates(frame.select(*target_columns(table)), table)
+        out = out.unionByName(repeated_keys(rows, table))
     return out
 
 
+def enforced(frame: DataFrame, table: TableSpec) -> DataFrame:
+    """The same rows, but any that breaks a row guard fails the job that reads it."""
+    fine = F.lit(True)
+    for code, name, bad in reversed(row_guards(table)):
+        fine = F.when(bad, F.raise_error(F.lit(f"{code} {table.name}.{name}")).cast("boolean")).otherwise(fine)
+    return frame.where(fine)
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose key, where there is one, isn't in the parent."""
     keys = parent.select(F.col(parent_column).alias("__key")).where("__key IS NOT NULL").distinct()
@@ -105,8 +122,41 @@ def duplicate_policy(df: DataFrame, table: TableSpec) -> DataFrame:
     return _issue(groups, table.name, "", kind, severity)
 
 
-def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame], contract: Contract) -> DataFrame:
-    """All issues of a typed table; typed: the typed tables by name, for foreign keys."""
+def _row_issues(df: DataFrame, table: TableSpec) -> DataFrame | None:
+    """Nulls in required columns and in keys, counted together in one pass."""
+    have = set(df.columns)
+    checks = [(c.name, "NON_NULLABLE_HAS_NULL", F.col(c.name).isNull()) for c in table.columns if not c.nullable and c.name in have]
+    if key := [k for k in table.primary_key if k in have]:
+        checks.append(("+".join(key), "PK_NULL", reduce(or_, [F.col(k).isNull() for k in key])))
+    if not checks:
+        return None
+    row = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)])
+    issues = [
+        F.struct(F.lit(table.name).alias("table_name"), F.lit(column).alias("column_name"), F.lit(kind).alias("issue_type"), F.col(f"n{i}").alias("issue_count"), F.lit("").alias("example"), F.lit("FAIL").alias("severity"))
+        for i, (column, kind, _) in enumerate(checks)
+    ]
+    return row.select(F.inline(F.array(*issues))).where("issue_count > 0")
+
+
+def reference_issues(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame], contract: Contract) -> list[DataFrame]:
+    """What is wrong with a typed table's references; typed: the typed tables by name."""
+    spark, have, parts = df.sparkSession, set(df.columns), []
+    for fk in table.foreign_keys:
+        parent = contract.table(fk.parent_table)
+        frame = typed.get(parent.name) if parent else None
+        column = parent.column(fk.parent_column) if parent else None
+        if frame is None:
+            parts.append(_fixed(spark, table.name, fk.column, "FK_PARENT_MISSING", example=fk.parent_table))
+        elif not column or column.name not in frame.columns or fk.column not in have:
+            parts.append(_fixed(spark, table.name, fk.column, "FK_COLUMN_MISSING", example=f"{fk.parent_table}.{fk.parent_column}"))
+        else:
+            lost = with_examples(orphans(df, fk.column, frame, column.name), [], F.col(fk.column).cast("string"), F.lit(1), 5)
+            parts.append(_issue(lost, table.name, fk.column, "FK_ORPHAN", example="example"))
+    return parts
+
+
+def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame], contract: Contract, references: bool = True) -> DataFrame:
+    """All issues of a typed table; references: whether those are looked at, too."""
     spark, have = df.sparkSession, set(df.columns)
     parts = [_fixed(spark, table.name, c.name, "MISSING_REQUIRED_COLUMN") for c in table.columns if c.name not in have]
     for c in table.columns:
@@ -118,50 +168,22 @@ def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame],
             wrong = F.col(c.name).isNotNull() & ~clean.is_currency_code(F.col(c.name))
             bad = with_examples(df.where(wrong), [], F.col(c.name), F.lit(1), 5)
             parts.append(_issue(bad, table.name, c.name, "INVALID_CURRENCY_CODE", example="example"))
-    required = [c.name for c in table.columns if not c.nullable and c.name in have]
-    if required:
-        nulls = nullability(df, required)
-        parts.append(nulls.where("null_rows > 0").select(
-            F.lit(table.name).alias("table_name"), "column_name", F.lit("NON_NULLABLE_HAS_NULL").alias("issue_type"),
-            F.col("null_rows").alias("issue_count"), F.lit("").alias("example"), F.lit("FAIL").alias("severity"),
-        ))
+    if (rows := _row_issues(df, table)) is not None:
+        parts.append(rows)
     key = [k for k in table.primary_key if k in have]
     if not table.primary_key and not table.allow_no_primary_key:
         parts.append(_fixed(spark, table.name, "", "NO_REVIEWED_PRIMARY_KEY"))
     if key:
-        absent = F.lit(False)
-        for k in key:
-            absent = absent | F.col(k).isNull()
-        label = "+".join(key)
-        parts.append(_issue(df.where(absent).agg(F.count("*").alias("n")), table.name, label, "PK_NULL"))
-        groups = df.where(~absent).groupBy(*key).agg(F.count("*").alias("c")).where("c > 1")
+        groups = df.dropna(subset=key).groupBy(*key).agg(F.count("*").alias("c")).where("c > 1")
         twice = with_examples(groups, [], F.concat_ws("+", *key), F.col("c"), 5)
-        parts.append(_issue(twice, table.name, label, "PK_DUPLICATE", example="example"))
-    for fk in table.foreign_keys:
-        parent = contract.table(fk.parent_table)
-        frame = typed.get(parent.name) if parent else None
-        column = parent.column(fk.parent_column) if parent else None
-        if frame is None:
-            parts.append(_fixed(spark, table.name, fk.column, "FK_PARENT_MISSING", example=fk.parent_table))
-        elif not column or column.name not in frame.columns or fk.column not in have:
-            parts.append(_fixed(spark, table.name, fk.column, "FK_COLUMN_MISSING", example=f"{fk.parent_table}.{fk.parent_column}"))
-        else:
-            lost = with_examples(orphans(df, fk.column, frame, column.name), [], F.col(fk.column).cast("string"), F.lit(1), 5)
-            parts.append(_issue(lost, table.name, fk.column, "FK_ORPHAN", example="example"))
+        parts.append(_issue(twice, table.name, "+".join(key), "PK_DUPLICATE", example="example"))
+    parts += reference_issues(df, table, typed, contract) if references else []
     parts.append(duplicate_policy(df, table))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
-def validate_all(typed: dict[str, DataFrame], contract: Contract) -> DataFrame:
-    out = None
-    for table in contract.tables:
-        if table.name in typed:
-            issues = validate_table(typed[table.name], table, typed, contract)
-            out = issues if out is None else out.unionByName(issues)
-    return out
+def validate_all(typed: dict[str, DataFrame], contract: Contract, references: bool = True) -> DataFrame:
+    return reduce(DataFrame.unionByName, [validate_table(typed[t.name], t, typed, contract, references) for t in contract.tables if t.name in typed])
 
 
 def status(issues: DataFrame, tables: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ from assay.types import LOGICAL
 
 #: Prefix of the cleaned but untyped columns that guards compare with the typed ones.
 CLEANED = "__cleaned_"
+#: Whether cleaning changed any text of a row.
+CHANGED = "__changed"
 
 
 @dataclass(frozen=True)
@@ -51,10 +53,12 @@ def expressions(table: TableSpec, contract: Contract) -> list[Expression]:
 
 
 def typed_with_cleaned(raw: DataFrame, table: TableSpec, contract: Contract, rates: DataFrame | None = None) -> DataFrame:
-    """Typed columns, conversions, and the cleaned text of each column that has a type."""
+    """Typed columns, conversions, the cleaned text of each column that has a type, and whether
+    the row changed."""
     every = expressions(table, contract)
     columns = [e.typed.alias(e.spec.name) for e in every]
     columns += [e.cleaned.alias(CLEANED + e.spec.name) for e in every if e.spec.datatype != "string"]
+    columns.append(changed(every).alias(CHANGED))
     frame = raw.select(*columns)
     for c in table.conversions:
         if rates is None:
@@ -64,6 +68,11 @@ def typed_with_cleaned(raw: DataFrame, table: TableSpec, contract: Contract, rat
     return frame
 
 
+def changed(every: list[Expression]) -> Column:
+    """Whether cleaning changes any of a row's texts."""
+    return reduce(or_, [~F.col(f"`{e.spec.source}`").cast("string").eqNullSafe(e.cleaned) for e in every], F.lit(False))
+
+
 def target_columns(table: TableSpec) -> list[str]:
     return [c.name for c in table.columns] + [x for c in table.conversions for x in (c.rate_output_column, c.output_column)]
 
@@ -99,10 +108,9 @@ def before_after(raw: DataFrame, table: TableSpec, contract: Contract, rates: Da
     target = transform(raw, table, contract, rates)
     zero = F.lit(0).cast("bigint")
     total = lambda c: F.coalesce(F.sum(c), zero)
-    changed = reduce(or_, [~c.eqNullSafe(e.cleaned) for c, e in zip(sources, every)])
     invalid = sum(((e.cleaned.isNotNull() & e.typed.isNull()).cast("bigint") for e in every), zero)
     before = raw.agg(
-        F.count("*").alias("input_rows"), F.count_if(changed).alias("changed_rows"),
+        F.count("*").alias("input_rows"), F.count_if(changed(every)).alias("changed_rows"),
         total(_nulls(sources)).alias("null_before"), total(invalid).alias("invalid_before"),
     )
     groups = raw.groupBy(*[f"`{e.spec.source}`" for e in every]).agg(F.count("*").alias("__n"))
