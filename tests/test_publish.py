@@ -32,12 +32,12 @@ def star(spark, suffix=""):
 
 
 def test_stopped_at_any_step_one_whole_version_is_readable(spark, monkeypatch):
-    (made, raw), (_, other), steps = star(spark), star(spark, " new"), []
-    publish.publish(spark, raw, made, "stops")
+    (made, old), (_, new), steps = star(spark), star(spark, " new"), []
+    publish.publish(spark, old, made, "stops")
     root = publish.root_of(spark, "stops")
     now = content(snapshots.read(spark, root))
     monkeypatch.setattr(publish, "_step", steps.append)
-    publish.publish(spark, other, made, "stops", overwrite=True)
+    publish.publish(spark, new, made, "stops", overwrite=True)
     then, now = now, content(snapshots.read(spark, root))
     assert then != now and steps == ["built folk", "built kids", "checked", "committed", "pointed kids", "pointed folk"]
     for place, stop in enumerate(steps):
@@ -48,14 +48,11 @@ def test_stopped_at_any_step_one_whole_version_is_readable(spark, monkeypatch):
 
         monkeypatch.setattr(publish, "_step", dies)
         monkeypatch.setattr(snapshots, "delete", lambda *_: None)  # a dead driver tidies nothing up
-        raw, other = other, raw
         with pytest.raises(KeyboardInterrupt):
-            publish.publish(spark, raw, made, "stops", overwrite=True)
+            publish.publish(spark, old, made, "stops", overwrite=True)
         monkeypatch.undo()
-        if place < 3:
-            raw, other = other, raw
-        else:
-            then, now = now, then
+        if place >= 3:
+            then, now, old, new = now, then, new, old
         assert content(snapshots.read(spark, root)) == now
         assert publish.recover(spark, "stops") == snapshots.latest(spark, root)
         assert content({n: spark.table(f"stops.{n}") for n in now}) == now
