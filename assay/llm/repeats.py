@@ -60,7 +60,7 @@ class Windows:
     Of each window: bits of its hash beside the cell, the row that holds it, its position. Rows
     are named once for each cell, positions are steps of one byte. Windows whose fate the batch
     itself tells go in a row without keys, to a cell that only hands them on; of a window that
-    very many rows hold, each batch so sends a few places to the window's cell.
+    very many rows hold, each batch so sends one place to the window's cell.
     """
 
     def __init__(self) -> None:
@@ -104,20 +104,20 @@ class Windows:
 
 
 def _met_here(windows: Windows, cell_key: np.ndarray, key: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that two rows of the batch hold, one of them as a reference block, are found; one
-    such block of them is sent. All places of the others are sent."""
+    """Windows that two rows of the batch hold are found, and one place of each is sent: a reference
+    block if there is one. All others are sent. (Without a block among them the rows' windows are
+    candidates that may be for nothing; extend() tells.)"""
     order = np.argsort(cell_key)
     _, n = _runs(cell_key[order])
     first = np.cumsum(n) - n
     row = np.array(windows.rows, dtype=np.int64)[owner[order]]
     shared = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first)
-    place = np.where(at[order] % BLOCK == 0, np.arange(len(at)), len(at))
-    block = np.minimum.reduceat(place, first)
-    settled = shared & (block < len(at))
+    place = np.arange(len(at)) + len(at) * (at[order] % BLOCK != 0)
+    best = np.minimum.reduceat(place, first) % len(at)
     found = np.zeros(len(at), dtype=bool)
-    found[order] = np.repeat(settled, n)
+    found[order] = np.repeat(shared, n)
     sent = ~found
-    sent[order[block[settled]]] = True
+    sent[order[best[shared]]] = True
     return sent, found
 
 
