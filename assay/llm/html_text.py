@@ -43,38 +43,71 @@ _TABLE_PARTS = frozenset("caption table tbody td tfoot th thead tr".split())
 _ASIDE = frozenset("head nav footer aside form script style noscript template iframe object svg button select textarea menu dialog".split())
 _ASIDE_NAMES = frozenset(
     "ad ads advert advertisement advertising adverts adsense alert banner breadcrumb breadcrumbs comment comments complementary consent"
-    " contentinfo cookie cookies dialog disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter"
+    " contentinfo cookie cookies dialog discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter"
     " notice notices notification pager pagination popup promo promotion related replies reply respond search share sharing"
-    " sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+    " sidebar signup skip social sponsor sponsored subscribe toc toolbar widget".split()
+)
+_COMMENTS = frozenset("comment comments discussion disqus replies reply respond".split())
+#: Words of a name that say where or what kind of box something is, not what it holds.
+_BOXES = frozenset(
+    "area bar block body bottom box button buttons center col column container content count desktop fixed form group icon icons inner item items label left"
+    " link links list main message mobile module outer overlay page panel placeholder posts primary region right row secondary section site slot"
+    " sticky text title top unit widgets wrap wrapper".split()
 )
 _ARTICLE = frozenset(("article", "main"))
 #: Words by which a name tells what an element has beside it, or whose header it is.
 _BESIDE = frozenset("has with without no".split())
 _OWN = frozenset("article content entry post story".split())
+_HIDDEN = re.compile(r"(?i)(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true)")
+_QUOTED = re.compile(r"(?<=[^\s=])(\"[^\"]*\"|'[^']*')|=\s*(?:\"(?!true\")[^\"]*\"|'(?!true')[^']*')")
+
+#: What an element is: the article's, beside it by its name or as a form, or beside it whatever it holds.
+_KEPT, _SOFT, _HARD = range(3)
 
 
-def _aside(tag: str, attributes: str, inside: bool) -> bool:
+def _aside(tag: str, attributes: str, inside: bool) -> int:
     """Whether an element is something beside the article; inside: in an article already."""
-    if tag in _ASIDE or tag == "header" and not inside:
-        return True
+    if tag == "form":
+        return _SOFT
+    if tag in _ASIDE or tag == "header" and not inside or "idden" in attributes and _HIDDEN.search(_QUOTED.sub(" ", attributes)):
+        return _HARD
     if tag in ("html", "body", "article", "main", "h1") and not inside or not attributes:
-        return False
-    return any(_aside_name(name, inside) for m in _NAMED.finditer(attributes) for name in m[1].strip("\"'").split())
+        return _KEPT
+    return max((_aside_name(name, inside) for m in _NAMED.finditer(attributes) for name in m[1].strip("\"'").split()), default=_KEPT)
+
 
+def _aside_name(name: str, inside: bool) -> int:
+    """Whether a class, id or role names something beside the article.
+
+    The last word that says more than a box's kind or place is what counts: `share-buttons` and
+    `cookie-notice` name something beside, `share-price` and `ad-free` don't.
+    """
+    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower().replace("_", " ").replace("-", " ").split()
+    if words == ["table", "of", "contents"]:
+        return _SOFT
+    if _BESIDE.intersection(words):
+        return _KEPT
+    telling = [w for w in words if w not in _BOXES and not w.isdigit()]
+    found = _ASIDE_NAMES.intersection(words)
+    if not found or telling and telling[-1] not in _ASIDE_NAMES or found == {"header"} and (inside or _OWN.intersection(words)):
+        return _KEPT
+    if found == {"discussion"} and inside:
+        return _KEPT
+    return _HARD if found & _COMMENTS else _SOFT
 
-def _aside_name(name: str, inside: bool) -> bool:
-    """Whether a class, id or role names something beside the article."""
-    words = set(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower().replace("_", " ").replace("-", " ").split())
-    if words & _BESIDE:
-        return False
-    found = words & _ASIDE_NAMES
-    return bool(found) and not (found == {"header"} and (inside or words & _OWN))
+
+#: An element that is beside the article by its name, or a form, wraps the article if it holds over
+#: half of the page's text, and what is kept without it is less than this share of its own.
+OUTSIDE = 0.1
 
 
 class Page:
-    """Nodes in page order, without what isn't the article, and the text pieces that they hold."""
+    """Nodes in page order, without what isn't the article, and the text pieces that they hold.
+
+    wrappers: numbers of start tags that are kept whatever their names say.
+    """
 
-    def __init__(self, source: str) -> None:
+    def __init__(self, source: str, wrappers: frozenset[int] = frozenset()) -> None:
         self.tags, self.parents = ["#page"], [0]
         self.pieces: list[tuple[int, str | None]] = []
         # Open elements: the node that each one's text belongs to, its tag, and the places of each tag.
@@ -82,7 +115,20 @@ class Page:
         self._at: defaultdict[str, list[int]] = defaultdict(list)
         # Place of the outermost open element that isn't the article; what it holds makes no nodes. 0: none.
         self._skipped = 0
+        # Start tags so far; characters left out so far; open elements beside the article by name or
+        # as forms (place, number, characters before); and when they ended, characters in them.
+        self._wrappers, self._started, self._left_out = wrappers, 0, 0
+        self._soft: list[tuple[int, int, int]] = []
+        self._held: dict[int, int] = {}
         self._read(source)
+        self._cut(1)
+
+    def wrappers(self) -> frozenset[int]:
+        """Elements left out that hold nearly all there is to read: they wrap the article."""
+        if not self._held:
+            return frozenset()
+        kept = sum(len(t) - t.count(" ") for _, t in self.pieces if t and not t.isspace())
+        return frozenset(n for n, held in self._held.items() if 2 * held > kept + self._left_out and kept < OUTSIDE * held)
 
     def _last(self, tags: Iterable[str]) -> int:
         """Place of the innermost open element of these tags; 0 without any."""
@@ -99,6 +145,9 @@ class Page:
             self.pieces.append((self._stack[i], None))
         for n in self._names[i:]:
             self._at[n].pop()
+        while self._soft and self._soft[-1][0] >= i:
+            _, number, before = self._soft.pop()
+            self._held[number] = self._left_out - before
         del self._stack[i:], self._names[i:]
         if i <= self._skipped:
             self._skipped = 0
@@ -121,11 +170,14 @@ class Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         self._end_implied(tag)
+        self._started += 1
+        aside = _KEPT if self._started in self._wrappers else _aside(tag, attributes, self._last(_ARTICLE) > 0)
+        if aside == _SOFT and tag not in _VOID:
+            self._soft.append((len(self._stack), self._started, self._left_out))
         if self._skipped:
             if tag not in _VOID and not (self._at["svg"] and attributes.endswith("/")):
                 self._push(self._stack[-1], tag)
             return
-        aside = _aside(tag, attributes, self._last(_ARTICLE) > 0)
         if tag in _BLOCK:
             self.pieces.append((self._stack[-1], None))
         if aside:
@@ -163,8 +215,11 @@ class Page:
         tagged = source.rfind(">") + 1
         while True:
             m = _TOKEN.search(source, at, tagged)
+            text = source[at : m.start()] if m else source[at:].partition("<!--")[0]
             if not self._skipped:
-                self._text(source[at : m.start()] if m else source[at:].partition("<!--")[0])
+                self._text(text)
+            elif self._names[-1] not in _RAW and not text.isspace():
+                self._left_out += len(text) - text.count(" ")
             if not m:
                 return
             at = m.end()
@@ -212,10 +267,10 @@ class Page:
         density = [_density(chars[n], tags[n], links[n], link_tags[n], chars[0], links[0]) for n in range(count)]
         block = [n == 0 or t in _BLOCK for n, t in enumerate(self.tags)]
         sums, leaf = [0.0] * count, [True] * count
+        around = [0] * count
         for n in range(1, count):
             p = self.parents[n]
-            while not block[p]:
-                p = self.parents[p]
+            p = around[n] = p if block[p] else around[p]
             if block[n] and self.tags[n] != "br":
                 sums[p] += density[n]
                 leaf[p] = False
@@ -226,8 +281,8 @@ class Page:
             path.append(self.parents[path[-1]])
         # The least density on the way from the body to the densest sum is what others must reach.
         threshold = min(density[n] for n in path)
-        above = set(path[1:])
-        beside = (n for n in range(1, count) if self.parents[n] in above and n not in path and chars[n])
+        above, way = set(path[1:]), set(path)
+        beside = (n for n in range(1, count) if self.parents[n] in above and n not in way and chars[n])
         return {best, *(n for n in beside if headed[n] or max(density[n], sums[n]) >= threshold)}
 
     def text(self) -> str:
@@ -257,7 +312,14 @@ def _density(chars: int, tags: int, links: int, link_tags: int, all_chars: int,
 
 
 def main_text(source: str | None) -> str:
-    return Page(source).text() if source else ""
+    """The article's text; a page whose article lies in a form or an element named like something
+    beside it is read again with these kept."""
+    if not source:
+        return ""
+    page = Page(source)
+    if wrappers := page.wrappers():
+        page = Page(source, wrappers)
+    return page.text()
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
