@@ -172,7 +172,7 @@ class Page:
         self._end_implied(tag)
         self._started += 1
         aside = _KEPT if self._started in self._wrappers else _aside(tag, attributes, self._last(_ARTICLE) > 0)
-        if aside == _SOFT and tag not in _VOID:
+        if aside == _SOFT and tag not in _VOID and not attributes.endswith("/"):
             self._soft.append((len(self._stack), self._started, self._left_out))
         if self._skipped:
             if tag not in _VOID and not (self._at["svg"] and attributes.endswith("/")):

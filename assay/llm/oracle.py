@@ -92,13 +92,16 @@ part AS ({_PARTS}),
 place AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM part),
 begun AS (SELECT *, list_sum(g[1:i]) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS s FROM place WHERE len(v[i]) >= least),
 span AS (SELECT doc_id, source, rank, kind, CAST(s AS BIGINT) AS s, CAST(s + len(m[i]) AS BIGINT) AS e, v[i] AS secret FROM begun),
-held AS (SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n_owners FROM span GROUP BY secret),
+held AS (SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n_owners, count(*) AS n_repositories
+    FROM (SELECT DISTINCT secret, source, doc_id FROM span) GROUP BY secret),
+judged AS (SELECT *, n_owners >= 3 OR n_owners >= 2 AND n_repositories >= 10 AS copied FROM held),
 per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
     string_agg({_SPAN}, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg({_SPAN}, ',' ORDER BY s, rank) AS spans,
-    count(*) FILTER (n_owners >= 3) AS n_copied, count(*) FILTER (n_owners < 3) AS n_live, max(n_owners) AS most_owners
-    FROM span JOIN held USING (secret) GROUP BY doc_id)
+    count(*) FILTER (copied) AS n_copied, count(*) FILTER (NOT copied) AS n_live, max(n_owners) AS most_owners, max(n_repositories) AS most_repositories
+    FROM span JOIN judged USING (secret) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-    coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live, coalesce(most_owners, 0) AS most_owners
+    coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live, coalesce(most_owners, 0) AS most_owners,
+    coalesce(most_repositories, 0) AS most_repositories
 FROM doc LEFT JOIN per USING (doc_id)
 """
 

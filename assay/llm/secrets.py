@@ -21,8 +21,10 @@ KINDS: dict[str, tuple[str, int, int, str]] = {
     "pem": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27, "-----BEGIN"),
 }
 BASE = ("assign", "access", "hex")
-#: A candidate that this many owners hold is a widely copied example; one owner's own looks live.
-COPIED_OWNERS = 3
+#: A candidate that this many owners hold is a widely copied example, and so is one of two owners at
+#: least that lies in this many repositories. What one owner alone holds looks live, in however
+#: many repositories.
+COPIED_OWNERS, COPIED_REPOSITORIES = 3, 10
 
 
 #: Characters of the blocks that a text is cut into before parts of it are taken.
@@ -89,22 +91,24 @@ def ownership(spans: DataFrame) -> DataFrame:
     a third of all documents hold is reduced before any row of it meets in one task.
     """
     by_owner = spans.select("hash", "owner", "repository").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("hash").agg(
-        F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories")
-    ).withColumn("copied", F.col("n_owners") >= COPIED_OWNERS)
+    counted = by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
+    spread = (F.col("n_owners") >= 2) & (F.col("n_repositories") >= COPIED_REPOSITORIES)
+    return counted.withColumn("copied", (F.col("n_owners") >= COPIED_OWNERS) | spread)
 
 
-def _judged(spans: DataFrame) -> DataFrame:
-    """Spans with n_owners, n_repositories and copied.
+def _judged(spans: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """Spans with n_owners, n_repositories and copied; others: more spans that count for ownership.
 
     The verdicts have one row a candidate, so where very many spans share one, Spark splits that
     side of the join (adaptive skew join).
     """
-    return spans.join(ownership(spans), "hash")
+    every = spans if others is None else spans.unionByName(others)
+    return spans.join(ownership(every), "hash")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None) -> DataFrame:
-    """One row per input row: doc_id, found spans, and how many of them are copied or look live.
+    """One row per input row: doc_id, found spans, how many of them are copied or look live, and the
+    most owners and repositories that one of them has.
 
     found: structs (start, rank of kind, kind, end, hash), by start and rank. owner_col names who
     holds a document (null counts as one owner of its own), repository_col where it lies (each
@@ -116,14 +120,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     spans = saved(spans_of(scanned))
     found = F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "hash"))).alias("found")
     verdicts = _judged(spans).groupBy("row").agg(
-        found, F.count_if("copied").alias("n_copied"), F.count_if(~F.col("copied")).alias("n_live"), F.max("n_owners").alias("most_owners")
+        found, F.count_if("copied").alias("n_copied"), F.count_if(~F.col("copied")).alias("n_live"), F.max("n_owners").alias("most_owners"),
+        F.max("n_repositories").alias("most_repositories"),
     )
     without = scanned.where(F.size("pieces") == 0).select("doc_id")
     joined = scanned.where(F.size("pieces") > 0).select("row", "doc_id").join(verdicts, "row", "left").drop("row")
     empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,hash:string>>")
     none = F.lit(0).cast("bigint")
     return joined.unionByName(without, allowMissingColumns=True).select(
-        "doc_id", F.coalesce("found", empty).alias("found"), *[F.coalesce(c, none).alias(c) for c in ("n_copied", "n_live", "most_owners")]
+        "doc_id", F.coalesce("found", empty).alias("found"), *[F.coalesce(c, none).alias(c) for c in ("n_copied", "n_live", "most_owners", "most_repositories")]
     )
 
 
@@ -139,16 +144,18 @@ def _united(spans: DataFrame) -> DataFrame:
 
 def clean(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-    repository_col: str | None = None, chars_col: str | None = "n_chars", mask: str = "[REDACTED]",
+    repository_col: str | None = None, chars_col: str | None = "n_chars", mask: str = "[REDACTED]", corpus: DataFrame | None = None,
 ) -> DataFrame:
     """All documents, all columns kept, live-looking secrets masked; widely copied examples stay.
 
-    chars_col, where docs has it, gets the new text's length. Null and empty texts stay as they
+    corpus: documents, of the same columns, that count for ownership beside docs, such as those
+    that docs were chosen from. chars_col, where docs has it, gets the new text's length. Null and empty texts stay as they
     are, repeated rows each stay, an empty table stays empty. Only texts with a secret to mask
     meet the spans; the others aren't shuffled.
     """
     spans = saved(spans_of(_scanned(docs, id_col, text_col, owner_col, repository_col)))
-    live = saved(_united(_judged(spans).where(~F.col("copied"))))
+    others = None if corpus is None else spans_of(_scanned(corpus, id_col, text_col, owner_col, repository_col))
+    live = saved(_united(_judged(spans, others).where(~F.col("copied"))))
     discard(spans)
     row, near, found = (unused(docs, n) for n in ("__row", "__near", "__spans"))
     marked = perhaps_among(docs.withColumn(row, _row(id_col, text_col, owner_col, repository_col)), row, live, "row", near)
@@ -197,5 +204,5 @@ def digest(result: DataFrame) -> DataFrame:
     counts = [_count(k).alias(f"n_{k}") for k in BASE]
     return result.select(
         "doc_id", *counts, F.sha2(joined_spans(base), 256).alias("base_sha256"),
-        joined_spans(F.col("found")).alias("spans"), "n_copied", "n_live", "most_owners",
+        joined_spans(F.col("found")).alias("spans"), "n_copied", "n_live", "most_owners", "most_repositories",
     )

@@ -168,6 +168,26 @@ def test_secrets(spark):
     assert secrets.scan(data.nothing(spark)).count() == 0
 
 
+def test_secrets_by_owners_and_repositories(spark):
+    """One owner's secret looks live in however many repositories; that of two owners in ten is an example."""
+    held = {"own": [("a", f"r{i}") for i in range(12)], "two": [("a", "x"), ("b", "y")], "spread": [("ab"[i % 2], f"r{i}") for i in range(10)], "three": [(o, "r") for o in "abc"]}
+    rows = [(i, f"password={name}-secret", owner, repo) for name, places in held.items() for i, (owner, repo) in enumerate(places)]
+    rows += [(50 + i, "password=unnamed-secret", None, repo) for i, repo in enumerate([None, "r", None, "s"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, repo string")
+    spans = secrets.spans_of(secrets._scanned(docs, "doc_id", "text", "source", "repo"))
+    held_by = docs.join(secrets.ownership(spans), F.sha2(F.substring_index("text", "=", -1), 256) == F.col("hash")).collect()
+    by_text = {r.text.split("=")[1].split("-")[0]: r for r in held_by}
+    assert {n: (r.n_owners, r.n_repositories, r.copied) for n, r in by_text.items()} == {
+        "own": (1, 12, False), "two": (2, 2, False), "spread": (2, 10, True), "three": (3, 3, True), "unnamed": (1, 3, False),
+    }
+    assert Counter(r.most_repositories for r in secrets.scan(docs, repository_col="repo").collect()) == {12: 12, 2: 2, 10: 10, 3: 7}
+    # Kept documents alone would make a copied example look live.
+    kept = docs.where("source = 'a'")
+    masked = {r.text for r in secrets.clean(kept, repository_col="repo", corpus=docs).collect()}
+    assert masked == {"[REDACTED]", "password=spread-secret", "password=three-secret"}
+    assert {r.text for r in secrets.clean(kept, repository_col="repo").collect()} == {"[REDACTED]"}
+
+
 def test_secrets_are_saved_as_hashes_only(spark, monkeypatch):
     """No table that is written, and no result, holds a secret in clear."""
     tables = []

@@ -51,5 +51,5 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLE_SQL) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLE_SQL) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
