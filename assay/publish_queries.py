@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import replace
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.plans import order
+from assay.plans import order, script
 from assay.plans.contract import ColumnSpec, Contract, ForeignKey, TableSpec
-from assay.queries import _CHANGED, _CUSTOMER, _FIX, _ORDERS, _SILVER, CONTRACT, ORACLE_SQL, ORDER_TABLE, SEGMENTS, _customer, _integer, _orders, _table, query
+from assay.queries import (
+    _CHANGED, _CUSTOMER, _FIX, _ORDERS, _SILVER, CONTRACT, ORACLE_SQL, ORDER_TABLE, SEGMENTS, _code, _customer, _integer, _number, _orders, _table, query,
+)
 from assay.sources import publish, snapshots
 from assay.sources.files import as_text
 
@@ -124,3 +128,56 @@ def build_order(spark, sf_dir):
     rows = [(o.table, o.status, o.why or str(o.result.rows)) for o in found.values()]
     rows += [(f"level {i}: {', '.join(names)}", "ORDER", "") for i, names in enumerate(order.levels(contract), 1)]
     return spark.createDataFrame(rows, "table_name string, status string, what string")
+
+
+# ------------------------------------------------------------------ the contract as a script
+
+#: The orders' contract without what their raw rows break, so that the script runs to its end.
+_PLAIN = replace(
+    ORDER_TABLE, foreign_keys=(), primary_key=(), allow_no_primary_key=True,
+    columns=tuple(replace(c, nullable=True, datatype="string" if c.name in ("order_date", "is_open", "units") else c.datatype) for c in ORDER_TABLE.columns),
+)
+
+
+def _viewed(df: DataFrame) -> str:
+    """The name of a temporary view of df."""
+    name = f"raw_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+@query(_SILVER)
+def script_rows(spark, sf_dir):
+    """What the script's cleaning and typing makes of the orders, all shapes of values included."""
+    contract = Contract((replace(ORDER_TABLE, foreign_keys=()),))
+    script.run(spark, contract, {"orders_raw": _viewed(_orders(spark, sf_dir))}, "none", stop=False)
+    return spark.sql(f"SELECT DISTINCT {', '.join(c.name for c in ORDER_TABLE.columns)} FROM orders__rows")
+
+
+@query(ORACLE_SQL["guard_report"].replace("UNION ALL SELECT '51006', 'customer_id', count(*) FILTER (WHERE length(customer_id) > 100)", "UNION ALL SELECT '51006', 'customer_id', count(*) FILTER (WHERE octet_length(encode(customer_id)) > 200)"))
+def script_guards(spark, sf_dir):
+    """Bad rows as the script counts them."""
+    contract = Contract((ORDER_TABLE, TableSpec("customers_raw", "customers_of", (ColumnSpec("customer_id", "customer_id", "string"),), ("customer_id",))))
+    sources = {"orders_raw": _viewed(_orders(spark, sf_dir)), "customers_raw": _viewed(_customer(spark, sf_dir))}
+    script.run(spark, contract, sources, "none", stop=False)
+    return spark.table("orders__guards")
+
+
+@query(f"""SELECT 'orders' AS table_name, count(DISTINCT order_id) AS row_count, CAST(coalesce(sum({_number('price')}), 0) AS DECIMAL(38,10)) AS total, count(DISTINCT {_code('currency')}) AS currencies
+    FROM {_ORDERS} o UNION ALL SELECT 'stopped: 51001 orders.units', count(*) FILTER (WHERE {_integer('units')} IS NULL), 0, 0 FROM {_ORDERS} o""")
+def script_tables(spark, sf_dir):
+    """The whole script run to its end, and one that stops at bad rows before any table is made."""
+    raw = _viewed(_orders(spark, sf_dir))
+    with _database(spark) as database:
+        script.run(spark, Contract((_PLAIN,)), {"orders_raw": raw}, database)
+        made = spark.table(f"{database}.orders").agg(F.count("*"), F.coalesce(F.sum("price"), F.lit(0)).cast("decimal(38,10)"), F.countDistinct("currency")).first()
+    strict = replace(_PLAIN, columns=tuple(replace(c, datatype="integer" if c.name == "units" else c.datatype) for c in _PLAIN.columns))
+    with _database(spark) as database:
+        try:
+            script.run(spark, Contract((strict,)), {"orders_raw": raw}, database)
+            stopped = ("", 0)
+        except Exception as error:  # raise_error's own kind depends on where it was evaluated
+            found = re.search(r"(51001 orders\.units): (\d+) rows", str(error))
+            stopped = (f"stopped: {found[1]}", int(found[2]))
+        left = spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").count()
+    return spark.createDataFrame([("orders", *made), (stopped[0], stopped[1] + left, Decimal(0), 0)], "table_name string, row_count bigint, total decimal(38,10), currencies bigint")
