@@ -6,24 +6,31 @@ from functools import reduce
 from itertools import combinations
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions import clean
 from assay.functions.names import column_name
-from assay.operators.profile import value_counts
+from assay.operators.profile import LONG, cells
 
 # Columns with these words in their names can be part of a composite key.
 PART_NAMES = ("date", "snapshot", "line", "sequence")
 MOST_PARTS, POOL = 3, 8
+#: About how many keys of all combinations together are looked at for two alike.
+WITNESSES = 4_000_000
+
+
+def _digest(c: Column) -> Column:
+    """A text, or its digest where it is long, so that no long value is shuffled."""
+    return F.when(F.length(c) > LONG, F.sha2(c, 256)).otherwise(c)
 
 
 def key_candidates(df: DataFrame) -> DataFrame:
     """(column_name, row_count, missing, distinct_keys) of every column, keys compared stripped
     and in lower case."""
-    counts = value_counts(df)
-    keyed = counts.groupBy("column_name", clean.join_key(F.col("value")).alias("key")).agg(
-        F.sum("n").alias("n"), F.sum(F.when(clean.is_missing(F.col("value")), F.col("n")).otherwise(0)).alias("missing")
+    value = F.col("value")
+    keyed = cells(df).groupBy("column_name", _digest(clean.join_key(value)).alias("key")).agg(
+        F.count("*").alias("n"), F.count_if(clean.is_missing(value)).alias("missing")
     )
     return keyed.groupBy("column_name").agg(
         F.sum("n").alias("row_count"), F.sum("missing").alias("missing"), F.count("key").alias("distinct_keys")
@@ -49,44 +56,83 @@ def composite_counts(df: DataFrame, combos: list[tuple[str, ...]]) -> DataFrame:
     return found
 
 
-def _promising(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> list[tuple[str, ...]]:
-    """Combinations that by approximate counts, in one pass without a shuffle of keys, may be unique."""
+def _plain(df: DataFrame) -> DataFrame:
+    """Columns named by number, so that no name needs care."""
+    return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
+def _parts(df: DataFrame, combo: tuple[str, ...]) -> list[Column]:
+    """What tells rows apart by these columns of df: one column's join key, or several columns' values."""
+    columns = [F.col(f"c{df.columns.index(c)}") for c in combo]
+    return [clean.join_key(columns[0].cast("string"))] if len(columns) == 1 else columns
+
+
+def disproved(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> list[tuple[str, ...]]:
+    """Combinations of which two rows are seen to share the values: surely no keys.
+
+    One pass looks at all combinations: of each, the rows whose key falls in one of many parts of
+    the key space (all rows of a small table), so what is shuffled is bounded. A combination that
+    isn't disproved may still be none; is_unique() tells.
+    """
     if not combos:
         return []
-    row = df.agg(*[F.approx_count_distinct(F.xxhash64(*[f"`{c}`" for c in combo]), 0.02).alias(str(i)) for i, combo in enumerate(combos)]).first()
-    # Five deviations of the estimate below the number of rows.
-    return [combo for combo, n in zip(combos, row) if n >= 0.9 * rows]
+    part = max(1, rows * len(combos) // WITNESSES)
+    looked = []
+    for i, combo in enumerate(combos):
+        parts = _parts(df, combo)
+        looked.append(F.array(F.lit(i).cast("bigint"), F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)))
+    keys = _plain(df).select(F.explode(F.filter(F.array(*looked), lambda k: F.pmod(k[1], F.lit(part)) == 0)).alias("k"))
+    twice = keys.select(*[F.col("k")[j].alias(x) for j, x in enumerate("iab")]).groupBy("i", "a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    return [combos[r["i"]] for r in twice.select("i").distinct().collect()]  # at most one row a combination
 
 
 def is_unique(df: DataFrame, combo: tuple[str, ...]) -> bool:
-    """Whether no two rows share these columns' values."""
-    return df.groupBy(*[f"`{c}`" for c in combo]).agg(F.count("*").alias("__n")).where("__n > 1").isEmpty()
+    """Whether no two rows share these columns' values (of one column: its join keys), counted exactly."""
+    parts = [p.alias(f"k{i}") for i, p in enumerate(_parts(df, combo))]
+    return _plain(df).select(*parts).groupBy(*[f"k{i}" for i in range(len(parts))]).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def complete_columns(df: DataFrame) -> tuple[int, list[str]]:
+    """Rows, and the columns without a missing value, from one pass."""
+    plain = _plain(df)
+    row = plain.agg(F.count("*").alias("n"), *[F.count_if(clean.is_missing(F.col(c).cast("string"))).alias(c) for c in plain.columns]).first()
+    return row["n"], [c for i, c in enumerate(df.columns) if not row[f"c{i}"]]
+
+
+def _first_unique(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> tuple[str, ...] | None:
+    """The first combination in order that is unique: those before it are all proven not to be."""
+    gone = set(disproved(df, combos, rows))
+    return next((c for c in combos if c not in gone and is_unique(df, c)), None)
+
+
+def minimal_keys(df: DataFrame, columns: list[str] | None = None, most_parts: int = MOST_PARTS) -> list[tuple[str, ...]]:
+    """All combinations of up to most_parts columns without missing values that are unique and of
+    which no smaller one is: level by level, leaving out what holds a key already."""
+    rows, complete = complete_columns(df)
+    pool = [c for c in (columns or df.columns) if c in complete]
+    found: list[tuple[str, ...]] = []
+    for size in range(1, most_parts + 1):
+        combos = [c for c in combinations(pool, size) if not any(set(k) <= set(c) for k in found)]
+        gone = set(disproved(df, combos, rows))
+        found += [c for c in combos if c not in gone and is_unique(df, c)]
+    return found
 
 
 def suggest_primary_key(df: DataFrame) -> list[str]:
     """The best unique column without missing values; else the first unique pair, then triple.
 
-    Combinations whose distinct values can't reach the number of rows, by the columns' counts or
-    by an estimate, aren't counted; the others are, one by one, until one is unique.
+    Nothing is ruled out by an estimate: a combination goes only when two rows are seen to share
+    its values, and the one that is taken was counted exactly.
     """
-    found = {r["column_name"]: r for r in key_candidates(df).toLocalIterator()}
-    complete = [c for c in df.columns if c in found and not found[c]["missing"]]
-    unique = [c for c in complete if found[c]["distinct_keys"] == found[c]["row_count"]]
-    if unique:
-        return [max(unique, key=lambda c: (_rank(c, df.columns.index(c)), -df.columns.index(c)))]
+    rows, complete = complete_columns(df)
+    place = df.columns.index
+    singles = sorted(complete, key=lambda c: (-_rank(c, place(c)), place(c)))
+    if found := _first_unique(df, [(c,) for c in singles], rows):
+        return list(found)
     pool = [c for c in complete if column_name(c).endswith("_id") or any(p in column_name(c) for p in PART_NAMES)][:POOL]
-    rows = found[pool[0]]["row_count"] if pool else 0
     for size in range(2, MOST_PARTS + 1):
-        combos = []
-        for combo in combinations(pool, size):
-            reach = 1
-            for c in combo:
-                reach *= found[c]["distinct_keys"]
-            if reach >= rows:
-                combos.append(combo)
-        for combo in _promising(df, combos, rows):
-            if is_unique(df, combo):
-                return list(combo)
+        if found := _first_unique(df, list(combinations(pool, size)), rows):
+            return list(found)
     return []
 
 

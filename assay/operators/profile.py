@@ -141,22 +141,46 @@ def structure_issues(df: DataFrame) -> DataFrame:
     return found.select("column_name", kind.alias("issue_type")).where("issue_type IS NOT NULL")
 
 
-def _is_date(c: Column) -> Column:
-    return c.rlike("[-/:T ]") & clean.to_timestamp(c).isNotNull()
+#: Texts that count as a date or time have one of these characters; a cheap look at how all date shapes begin
+#: spares most failures of parsing.
+_DATED, _DATE_START, _TIMED = "[-/:T ]", r"^ *\d{1,4}([-/]\d{1,2}[-/]\d|\d{4} *$)", r"\d{1,2}:\d{2}"
+#: What can be a number has a digit after signs, brackets and commas.
+_NUMERIC = r"^[\s+\-(.,]*\d"
+
+
+def type_parts(c: Column) -> dict[str, Column]:
+    """A text read once as a number and as a timestamp: what the measures of types go by."""
+    return {
+        "known": ~clean.is_missing(c), "number": F.when(c.rlike(_NUMERIC), clean.to_decimal(c)),
+        "dated": F.coalesce(F.when(c.rlike(_DATE_START) & c.rlike(_DATED), clean.to_timestamp(c)).isNotNull(), F.lit(False)),
+        "timed": c.rlike(_TIMED), "flag": (F.length(c) < 64) & clean.match_key(c).isin(*FLAG_TEXTS),
+    }
+
+
+def type_tests() -> dict[str, Column]:
+    """Whether a text reads as what, over the columns of type_parts()."""
+    number, known = F.col("number"), F.col("known")
+    tests = {
+        "numbers": number.isNotNull(), "integers": (F.floor(number) == number) & number.try_cast("bigint").isNotNull(),
+        "dates": F.col("dated"), "times": F.col("dated") & F.col("timed"), "flags": F.col("flag"),
+    }
+    return {"effective": known} | {n: F.coalesce(known & test, F.lit(False)) for n, test in tests.items()}
 
 
 def type_evidence(df: DataFrame) -> DataFrame:
-    """For each column, in rows that have a value: how many read as what."""
-    among = lambda test: lambda c: F.count_if(~clean.is_missing(c) & test(c))
-    return _each(
-        df,
-        effective=lambda c: F.count_if(~clean.is_missing(c)),
-        numbers=among(lambda c: clean.to_decimal(c).isNotNull()),
-        integers=among(lambda c: clean.to_integer(c).isNotNull()),
-        dates=among(_is_date),
-        times=among(lambda c: _is_date(c) & c.rlike(r"\d{1,2}:\d{2}")),
-        flags=among(lambda c: clean.match_key(c).isin(*FLAG_TEXTS)),
-    )
+    """For each column, in rows that have a value: how many read as what.
+
+    A row is turned to its cells within the task, so that each cell is read once by one piece of
+    code for all columns; only counts leave the task.
+    """
+    cells_ = F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])).alias("place", "value")
+    read = df.select(cells_).select("place", *[part.alias(n) for n, part in type_parts(F.col("value")).items()])
+    read = read.select("place", *[test.alias(n) for n, test in type_tests().items()])
+    found = []
+    for i, c in enumerate(df.columns):
+        counts = [F.count_if((F.col("place") == i) & F.col(n)).alias(n) for n in type_tests()]
+        found.append(F.struct(F.lit(c).alias("column_name"), *counts).alias(f"m{i}"))
+    return read.agg(*found).select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(found))])))
 
 
 def infer_type(name: str, evidence: dict) -> str:

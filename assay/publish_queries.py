@@ -12,12 +12,14 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.operators import profile_state
 from assay.plans import order, script
 from assay.plans.contract import ColumnSpec, Contract, ForeignKey, TableSpec
 from assay.queries import (
-    _CHANGED, _CUSTOMER, _FIX, _ORDERS, _SILVER, CONTRACT, ORACLE_SQL, ORDER_TABLE, SEGMENTS, _code, _customer, _integer, _number, _orders, _table, query,
+    _CHANGED, _CUSTOMER, _FIX, _ORDER_COUNTS, _ORDERS, _SILVER, CONTRACT, ORACLE_SQL, ORDER_TABLE, SEGMENTS, _code, _customer, _first, _integer, _marker,
+    _missing, _number, _orders, _strip, _sum, _table, query,
 )
-from assay.sources import publish, snapshots
+from assay.sources import jdbc, publish, snapshots
 from assay.sources.files import as_text
 
 
@@ -181,3 +183,43 @@ def script_tables(spark, sf_dir):
             stopped = (f"stopped: {found[1]}", int(found[2]))
         left = spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").count()
     return spark.createDataFrame([("orders", *made), (stopped[0], stopped[1] + left, Decimal(0), 0)], "table_name string, row_count bigint, total decimal(38,10), currencies bigint")
+
+
+# ------------------------------------------------------------------ another database
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+def jdbc_customers(spark, sf_dir):
+    """The customers, written to the database that comes with Spark and read again in parts by key.
+
+    That database lives in the driver's process, so this one runs on a local master.
+    """
+    url = f"jdbc:derby:memory:assay_{uuid.uuid4().hex};create=true"
+    rows = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    upper = rows.toDF(*[c.upper() for c in rows.columns])
+    upper.repartition(4).write.option("createTableColumnTypes", "C_NAME VARCHAR(200), C_MKTSEGMENT VARCHAR(200)").jdbc(url, "customers")
+    return jdbc.read_partitioned(spark, url, "customers", "c_custkey", rows_a_task=500).toDF(*rows.columns)
+
+
+# ------------------------------------------------------------------ profiles that grow with their files
+
+_STRAY = "value <> {0} OR contains(value, '  ') OR regexp_matches(value, '[\\t\\r\\n]')".format(_strip("value"))
+
+
+@query(f"""SELECT column_name, CAST(sum(n) AS BIGINT) AS row_count, {_sum('value IS NULL')} AS real_null, {_sum(_marker('value'))} AS marker_null, {_sum(f"value <> {_strip('value')}")} AS edge,
+    {_sum("contains(value, '  ')")} AS repeated, {_sum("regexp_matches(value, '[\\t\\r\\n]')")} AS control, {_sum(_STRAY)} AS stray, e.effective, e.numbers, e.integers, e.dates, e.times, e.flags,
+    CASE count(DISTINCT value) FILTER (WHERE NOT {_missing('value')}) WHEN 0 THEN 'ALL_MISSING_COLUMN' WHEN 1 THEN 'CONSTANT_COLUMN' ELSE '' END AS issue_type,
+    {_first('value', 5, _marker('value'))} AS example
+    FROM {_ORDER_COUNTS} c JOIN ({ORACLE_SQL["datatype_inference"]}) e USING (column_name) GROUP BY ALL""")
+def profile_of_files(spark, sf_dir):
+    """The profile of a folder that got files twice: the second run reads the new ones alone."""
+    raw = _orders(spark, sf_dir)
+    with _database(spark) as database:
+        folder = publish.root_of(spark, database)
+        raw.where("status LIKE 'F%' OR status LIKE ' f%'").repartition(3).write.parquet(f"{folder}/raw")
+        profile_state.files_state(spark, spark.read.parquet(f"{folder}/raw"), f"{folder}/states")
+        raw.where("NOT (status LIKE 'F%' OR status LIKE ' f%')").repartition(2).write.mode("append").parquet(f"{folder}/raw")
+        state = profile_state.files_state(spark, spark.read.parquet(f"{folder}/raw"), f"{folder}/states")
+        found = profile_state.report(state).drop("distinct_estimate")
+        rows, schema = found.collect(), found.schema  # one row a column
+    return spark.createDataFrame(rows, schema)

@@ -10,12 +10,12 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from assay.functions import names
-from assay.operators import fx, guards, keys, profile, transform
+from assay.operators import fx, guards, inclusion, keys, profile, transform
 from assay.plans import contract as contracts
 from assay.plans import proposal
 from assay.plans.contract import ColumnSpec, Contract, Conversion, ForeignKey, TableSpec
 from assay.queries import (
-    _ASOF, _CHANGED, _DOUBLED, _ORDERS, _SILVER, BASE, CONTRACT, ORACLE_SQL, ORDER_TABLE, TX, _boolean, _code, _doubled, _integer,
+    _ASOF, _CHANGED, _DOUBLED, _ORDERS, _SILVER, BASE, CONTRACT, ORACLE_SQL, ORDER_TABLE, TX, _boolean, _code, _doubled, _integer, _key,
     _MARKERS, _number, _orders, _rates, _star, _table, _time, query, silver_orders,
 )
 from assay.sources import files, publish
@@ -51,15 +51,66 @@ _COMBOS = [c for n in (1, 2, 3) for c in combinations(_PARTS, n)]
 _FIRST_KEY = " ".join(
     f"WHEN (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_PARTS[c] for c in combo)} FROM lineitem)) = (SELECT count(*) FROM lineitem) THEN '{'+'.join(combo)}'" for combo in _COMBOS
 )
+#: All columns of each table; those that aren't renamed have no name of a part of a key.
+_WHOLE = {"lineitem": {c: n for n, c in _PARTS.items()}, "orders": {"o_orderkey": "order_id", "o_custkey": "customer_id"}, "nations": {"n_nationkey": "nation_id", "n_regionkey": "region_id"}}
+
+
+def _whole(spark, sf_dir, name: str):
+    df = _table(spark, sf_dir, name.removesuffix("s") if name == "nations" else name)
+    return df.withColumnsRenamed(_WHOLE[name])
 
 
 @query(f"""SELECT 'lineitem' AS table_name, CASE {_FIRST_KEY} ELSE '' END AS primary_key UNION ALL SELECT 'orders', CASE WHEN count(DISTINCT o_orderkey) = count(*) THEN 'order_id' ELSE '' END FROM orders
     UNION ALL SELECT 'nations', CASE WHEN count(DISTINCT n_nationkey) = count(*) THEN 'nation_id' ELSE '' END FROM nation""")
 def primary_keys_suggested(spark, sf_dir):
-    tables, _ = _star(spark, sf_dir)
-    items = _table(spark, sf_dir, "lineitem").selectExpr(*[f"{c} AS {n}" for n, c in _PARTS.items()])
-    chosen = {"lineitem": items, "orders": tables["orders"], "nations": tables["nations"]}
-    return spark.createDataFrame([(n, "+".join(keys.suggest_primary_key(df))) for n, df in chosen.items()], "table_name string, primary_key string")
+    return spark.createDataFrame([(n, "+".join(keys.suggest_primary_key(_whole(spark, sf_dir, n)))) for n in _WHOLE], "table_name string, primary_key string")
+
+
+_ITEM_COLUMNS = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+
+
+def _is_key(combo: tuple[str, ...]) -> str:
+    return f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(combo)} FROM lineitem)) = (SELECT count(*) FROM lineitem)"
+
+
+_ITEM_COMBOS = [c for n in (1, 2, 3) for c in combinations(_ITEM_COLUMNS, n)]
+
+
+@query(f"""WITH tried AS ({" UNION ALL ".join(f"SELECT '{'+'.join(c)}' AS combo, {len(c)} AS parts, {_is_key(c)} AS is_key" for c in _ITEM_COMBOS)})
+    SELECT combo FROM tried t WHERE is_key AND NOT EXISTS (SELECT 1 FROM tried s WHERE s.is_key AND s.parts < t.parts
+    AND list_has_all(string_split(t.combo, '+'), string_split(s.combo, '+')))""")
+def minimal_keys(spark, sf_dir):
+    """All minimal keys of up to three columns of the whole of lineitem."""
+    found = keys.minimal_keys(_table(spark, sf_dir, "lineitem"))
+    return spark.createDataFrame([("+".join(c),) for c in found], "combo string")
+
+
+_STAR_COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey", "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal", "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority", "lineitem": " ".join(_ITEM_COLUMNS),
+}
+
+
+def _inclusions(tables: dict[str, str]) -> str:
+    cells = " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, {_key(f'CAST({c} AS VARCHAR)')} AS k FROM {t}" for t, columns in tables.items() for c in columns.split())
+    return f"""WITH cell AS (SELECT t, c, k, count(*) AS n FROM ({cells}) WHERE k <> '' GROUP BY t, c, k),
+    own AS (SELECT t, c, sum(n) AS total, max(n) = 1 AS is_unique FROM cell GROUP BY t, c)
+    SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, CAST(any_value(x.total) AS BIGINT) AS total_rows, CAST(sum(a.n) AS BIGINT) AS matched_rows,
+    CAST(sum(a.n) AS DOUBLE) / CAST(any_value(x.total) AS DOUBLE) AS match_rate, any_value(y.is_unique) AS parent_unique
+    FROM cell a JOIN cell b ON a.k = b.k AND a.t <> b.t JOIN own x ON x.t = a.t AND x.c = a.c JOIN own y ON y.t = b.t AND y.c = b.c GROUP BY a.t, a.c, b.t, b.c"""
+
+
+@query(_inclusions(_STAR_COLUMNS))
+def inclusion_dependencies(spark, sf_dir):
+    return inclusion.dependencies({t: _table(spark, sf_dir, t) for t in _STAR_COLUMNS})
+
+
+@query(f"""SELECT child_table, child_column, min_by(parent_table, rank) AS parent_table, min_by(parent_column, rank) AS parent_column, max(match_rate) AS match_rate
+    FROM (SELECT *, row_number() OVER (ORDER BY match_rate DESC, parent_table, parent_column) AS rank FROM ({_inclusions(_STAR_COLUMNS)}) WHERE parent_unique AND match_rate >= 0.8) GROUP BY child_table, child_column""")
+def references_found(spark, sf_dir):
+    """References between tables whose columns share no names."""
+    return inclusion.proposed(inclusion_dependencies(spark, sf_dir))
 
 
 _PROPOSED = (
