@@ -132,164 +132,6 @@ def key_proposal(spark, sf_dir):
     return proposal.key_rows(*_star(spark, sf_dir))
 
 
-# ------------------------------------------------------------------ names and control values
-
-
-@query(_rows(
-    "given, column_name, table_name, currency, quoted, commented", ("Order Date Raw", "order_date", "Order Date Raw", False, "`Order Date Raw`", "-- Order Date Raw"),
-    ("fee_currency", "fee_currency", "fee_currency", True, "`fee_currency`", "-- fee_currency"), ("sales_raw", "sales", "sales", False, "`sales_raw`", "-- sales_raw"),
-    ("a`b  c", "a_b_c", "a`b  c", False, "`a``b  c`", "-- a`b c"), ("vnd_per_currency", "vnd_per_currency", "vnd_per_currency", False, "`vnd_per_currency`", "-- vnd_per_currency"),
-))
-def names_report(spark, sf_dir):
-    given = ("Order Date Raw", "fee_currency", "sales_raw", "a`b  c", "vnd_per_currency")
-    rows = [(g, names.column_name(g), names.table_name(g), names.is_currency_column(g), names.quoted(g), names.comment(g)) for g in given]
-    return spark.createDataFrame(rows, "given string, column_name string, table_name string, currency boolean, quoted string, commented string")
-
-
-@query("SELECT n_name AS name, concat('fk_', regexp_replace(n_name, '[^0-9A-Za-z]', '_', 'g'), '_x') AS short, concat(repeat('y', 111), '_', left(sha1(repeat('y', 150) || '_' || regexp_replace(n_name, '[^0-9A-Za-z]', '_', 'g')), 8)) AS long FROM nation")
-def constraint_names(spark, sf_dir):
-    nations = [r.n_name for r in _table(spark, sf_dir, "nation").select("n_name").collect()]  # 25 rows
-    return spark.createDataFrame([(n, names.constraint_name("fk", n, "x"), names.constraint_name("y" * 150, n)) for n in nations], "name string, short string, long string")
-
-
-@query("SELECT n_name AS name, n_name AS value, concat('x''', n_name, '\\y') AS odd FROM nation")
-def literals(spark, sf_dir):
-    nations = [r.n_name for r in _table(spark, sf_dir, "nation").select("n_name").collect()]
-    parts = [spark.sql(f"SELECT {names.literal(n)} AS name, {names.literal(n)} AS value, {names.literal("x'" + n + chr(92) + "y")} AS odd") for n in nations]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-_FLAGS = (("TRUE", True, ""), ("1", True, ""), ("Yes", True, ""), ("n", False, ""), ("", False, ""), ("maybe", False, "flag: 'maybe' is neither true nor false"))
-_PLACES = (("2", 2, ""), ("3.0", 3, ""), ("", 7, ""), ("0", 7, "place: '0' is no position"), ("x", 7, "place: 'x' is no position"))
-
-
-@query(_rows("kind, given, value, error", *[("flag", g, str(v), e) for g, v, e in _FLAGS], *[("place", g, str(v), e) for g, v, e in _PLACES]))
-def review_values(spark, sf_dir):
-    rows = []
-    for kind, given in [("flag", g) for g, *_ in _FLAGS] + [("place", g) for g, *_ in _PLACES]:
-        errors: list[str] = []
-        value = contracts._flag(given, "flag", errors) if kind == "flag" else contracts._place(given, 7, "place", errors)
-        rows.append((kind, given, str(value), "".join(errors)))
-    return spark.createDataFrame(rows, "kind string, given string, value string, error string")
-
-
-@query("SELECT n_nationkey AS place, n_name AS name, true AS same FROM nation")
-def control_files(spark, sf_dir):
-    """A review as CSV with a byte-order mark and a contract as JSON, written and read again."""
-    rows = [{"place": str(r.n_nationkey), "name": r.n_name} for r in _table(spark, sf_dir, "nation").collect()]
-    with tempfile.TemporaryDirectory() as folder:  # control files lie with the driver
-        review, rules = Path(folder) / "review.csv", Path(folder) / "contract.json"
-        files.write_review(review, rows, ["place", "name"])
-        files.write_json(rules, CONTRACT.to_dict())
-        marked = review.read_bytes().startswith(b"\xef\xbb\xbf") and files.read_json(Path(folder) / "none.json", required=False) == {}
-        same = marked and Contract.from_dict(files.read_json(rules)) == CONTRACT
-        back = [(int(r["place"]), r["name"], same) for r in files.read_review(review)]
-    return spark.createDataFrame(back, "place int, name string, same boolean")
-
-
-@query(_rows("check_name, result", ("ready", "True"), ("inventory", "2 tables"), ("wrong inventory", "2 tables, 32 expected")))
-def source_checks(spark, sf_dir):
-    where = {t: f"{sf_dir}/{t}.parquet" for t in ("nation", "region")}
-    found = files.read_tables(spark, where, expected=2)
-    try:
-        files.read_tables(spark, where, expected=32)
-        refused = ""
-    except ValueError as error:
-        refused = str(error)
-    return spark.createDataFrame([("ready", str(files.ready(spark))), ("inventory", f"{len(found)} tables"), ("wrong inventory", refused)], "check_name string, result string")
-
-
-# ------------------------------------------------------------------ contracts
-
-
-def _review_row(table: str, source: str, datatype: str = "string", **more: str) -> dict[str, str]:
-    row = dict.fromkeys(contracts.SCHEMA_FIELDS, "") | {"table_name": table, "silver_table_name": table.removesuffix("_raw"), "source_column": source, "column_name": source, "datatype": datatype}
-    return row | more
-
-
-_GOOD = [
-    _review_row("people_raw", "person_id", is_pk="True"), _review_row("people_raw", "name", nullable="yes"), _review_row("sales_raw", "sale_id", "integer", is_pk="1", pk_order="1"),
-    _review_row("sales_raw", "person_id", is_fk="True", fk_reference="people_raw.person_id"), _review_row("sales_raw", "amount", "money", nullable="True"),
-    _review_row("notes_raw", "body", allow_no_primary_key="yes", nullable="1"),
-]
-
-
-def _decision(table: str, column: str, kind: str, decision: str, action: str = "", reason: str = "", suggested: str = "STANDARDIZE_TEXT") -> dict[str, str]:
-    return dict(zip(contracts.DECISION_FIELDS, ("i", table, column, kind, suggested, decision, action, reason)))
-
-
-@query(_rows(
-    "error", ("t_raw.a: unknown data type 'blob'",), ("t_raw.a: is_fk and fk_reference disagree",), ("t_raw.b: is_pk: 'maybe' is neither true nor false",), ("t_raw.b: fk_reference 'nope' isn't table.column",),
-    ("t_raw: source columns twice: c",), ("t_raw: target columns twice: c",), ("t_raw: no primary key, and none isn't allowed",), ("u_raw: needs one target name, has ['', 'u']",), ("u_raw.y: pk_order: '0' is no position",), ("t_raw.d: no u_raw.z",),
-    ("u_raw: allow_no_primary_key differs between rows",),
-))
-def schema_errors(spark, sf_dir):
-    rows = [
-        _review_row("t_raw", "a", "blob", is_fk="True"), _review_row("t_raw", "b", is_pk="maybe", is_fk="1", fk_reference="nope"), _review_row("t_raw", "c"), _review_row("t_raw", "c"),
-        _review_row("t_raw", "d", is_fk="1", fk_reference="u_raw.z"), _review_row("u_raw", "x", silver_table_name="", allow_no_primary_key="1"), _review_row("u_raw", "y", is_pk="1", pk_order="0"),
-    ]
-    return _texts(spark, "error", contracts.compile_schema(rows)[1])
-
-
-@query(_rows(
-    "error", ("decision 2 (nowhere_raw. WHITESPACE): unknown table",), ("decision 3 (people_raw.age WHITESPACE): unknown column",), ("decision 4 (people_raw.name WHITESPACE): decision 'later' is none of FIX, KEEP, BLOCK",),
-    ("decision 4 (people_raw.name WHITESPACE): LATER needs a reason",), ("decision 5 (people_raw.name WHITESPACE): unknown action 'RUN'",), ("decision 6 (people_raw.name WHITESPACE): KEEP needs a reason",),
-))
-def decision_errors(spark, sf_dir):
-    tables, _ = contracts.compile_schema(_GOOD)
-    rows = [
-        _decision("people_raw", "name", "WHITESPACE", "fix"), _decision("nowhere_raw", "", "WHITESPACE", "FIX"), _decision("people_raw", "age", "WHITESPACE", "FIX"),
-        _decision("people_raw", "name", "WHITESPACE", "later"), _decision("people_raw", "name", "WHITESPACE", "FIX", "run"), _decision("people_raw", "name", "WHITESPACE", "KEEP"),
-    ]
-    return _texts(spark, "error", contracts.compile_decisions(rows, tables)[1])
-
-
-@query(_rows(
-    "error", ("people_raw.name: no mapping for an approved mapping",), ("sales_raw: conversion of unknown column fee",), ("sales_raw: unknown missing-rate rule 'guess'",), ("sales_raw: column amount twice",),
-    ("missing: notes_raw: no such table",), ("missing: sales_raw.amount: no such column",), ("warning: notes_raw: no primary key, as approved",), ("blocked: people_raw.name WHITESPACE: wait",),
-))
-def contract_checks(spark, sf_dir):
-    tables, _ = contracts.compile_schema(_GOOD)
-    rows = [_decision("people_raw", "name", "TEXT_VARIANT", "FIX", "APPLY_VALUE_MAPPING"), _decision("people_raw", "name", "WHITESPACE", "BLOCK", reason="wait")]
-    tables, _ = contracts.compile_decisions(rows, tables)
-    conversion = {"amount_column": "fee", "currency_column": "amount", "date_column": "amount", "output_column": "amount", "rate_output_column": "rate"}
-    contract = contracts.apply_rules(tables, {"tables": {"sales_raw": {"currency": {"conversions": [conversion], "missing_fx_rate_rule": "guess"}}}})
-    found = contracts.validate(contract) + [f"missing: {e}" for e in contracts.missing_columns(contract, {"people_raw": ["person_id", "name"], "sales_raw": ["sale_id", "person_id"]})]
-    found += [f"warning: {w}" for w in contract.warnings()]
-    try:
-        contracts.refuse_blocked(contract)
-    except contracts.ContractError as error:
-        found += [f"blocked: {e}" for e in error.errors]
-    return _texts(spark, "error", found)
-
-
-@query(_rows("table_name, column_name, parent_table, parent_column", ("sales", "person_id", "people", "person_id")))
-def relationships(spark, sf_dir):
-    contract = contracts.compile_contract(_GOOD, [], {})
-    return spark.createDataFrame(contract.relationships(), "table_name string, column_name string, parent_table string, parent_column string")
-
-
-@query(_rows("place, line", *enumerate((
-    "people_raw -> people (key: person_id)", "  person_id -> person_id: string not null", "  name -> name: string", "  FIX WHITESPACE name: STANDARDIZE_TEXT", "sales_raw -> sales (key: sale_id)",
-    "  sale_id -> sale_id: integer not null", "  person_id -> person_id: string not null", "  amount -> amount: decimal", "  person_id references people_raw.person_id", "notes_raw -> notes (key: none)", "  body -> body: string",
-))))
-def contract_described(spark, sf_dir):
-    contract = contracts.compile_contract(_GOOD, [_decision("people_raw", "name", "WHITESPACE", "FIX")], {})
-    return spark.createDataFrame(list(enumerate(contracts.describe(contract).splitlines())), "place bigint, line string")
-
-
-@query(_rows(
-    "column_name, datatype, nullable", ("order_id", "bigint", False), ("customer_id", "string", False), ("status", "string", True), ("price", "decimal(38,10)", True), ("order_date", "date", False),
-    ("priority", "string", True), ("is_open", "boolean", True), ("units", "bigint", True), ("currency", "string", True),
-))
-def target_schema(spark, sf_dir):
-    fields = transform.target_schema(ORDER_TABLE).fields
-    return spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in fields], "column_name string, datatype string, nullable boolean")
-
-
 # ------------------------------------------------------------------ rates, guards, validation
 
 

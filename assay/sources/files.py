@@ -5,8 +5,10 @@ from __future__ import annotations
 import csv
 import json
 from collections.abc import Iterable, Mapping
+from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +67,26 @@ def write_review(path: str | Path, rows: Iterable[Mapping[str, object]], columns
         writer = csv.DictWriter(file, columns, extrasaction="ignore")
         writer.writeheader()
         writer.writerows(rows)
+
+
+def write_table(df: DataFrame, location: str, kind: str = "csv") -> None:
+    """A table of texts as CSV (null as nothing, an empty text as two quotes) or JSON lines, to be
+    read again by read_table()."""
+    options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"} if kind == "csv" else {"ignoreNullFields": "false"}
+    as_text(df).write.format(kind).options(**options).save(location)
+
+
+def inventory(spark: SparkSession, locations: Mapping[str, str], kind: str = "parquet") -> DataFrame:
+    """(table_name, status, row_count, column_count) of the tables there should be: FOUND, EMPTY or
+    MISSING, rows counted by Spark. Run before a build, so that it doesn't stop half-way."""
+    parts = []
+    for name, location in locations.items():
+        try:
+            df = read_table(spark, location, kind)
+        except AnalysisException:
+            parts.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit("MISSING").alias("status"), F.lit(0).cast("bigint").alias("row_count"), F.lit(0).alias("column_count")))
+            continue
+        row = df.agg(F.count("*").alias("row_count"))
+        status = F.when(F.col("row_count") > 0, "FOUND").otherwise("EMPTY")
+        parts.append(row.select(F.lit(name).alias("table_name"), status.alias("status"), "row_count", F.lit(len(df.columns)).alias("column_count")))
+    return reduce(DataFrame.unionByName, parts)
