@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +110,20 @@ def nullability(df: DataFrame, columns: list[str]) -> DataFrame:
     return row.unpivot([], columns, "column_name", "null_rows")
 
 
+def grouped(df: DataFrame) -> DataFrame:
+    """Different rows with how often each occurs (__n).
+
+    All that is validated starts here, so that Spark shuffles a table once and uses that again.
+    """
+    return df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count("*").alias("__n"))
+
+
+def _of(rows: DataFrame, condition: Column) -> DataFrame:
+    """Those of grouped() rows that meet a condition, written so that it isn't pushed below the grouping,
+    which then would be another one and not used again."""
+    return rows.where(F.when(condition, F.col("__n")) > 0)
+
+
 def duplicate_policy(df: DataFrame, table: TableSpec) -> DataFrame:
     """What exact duplicates mean: accepted if kept, failing if to be fixed or undecided."""
     if table.keeps("EXACT_DUPLICATE"):
@@ -118,19 +132,20 @@ def duplicate_policy(df: DataFrame, table: TableSpec) -> DataFrame:
         kind, severity = "EXACT_DUPLICATE", "FAIL"
     else:
         kind, severity = "EXACT_DUPLICATE_UNDECIDED", "FAIL"
-    groups = df.groupBy(*df.columns).count().where("count > 1").agg(F.sum("count").alias("n"))
+    groups = grouped(df).where("__n > 1").agg(F.sum("__n").alias("n"))
     return _issue(groups, table.name, "", kind, severity)
 
 
 def _row_issues(df: DataFrame, table: TableSpec) -> DataFrame | None:
-    """Nulls in required columns and in keys, counted together in one pass."""
+    """Nulls in required columns and in keys, counted together."""
     have = set(df.columns)
     checks = [(c.name, "NON_NULLABLE_HAS_NULL", F.col(c.name).isNull()) for c in table.columns if not c.nullable and c.name in have]
     if key := [k for k in table.primary_key if k in have]:
         checks.append(("+".join(key), "PK_NULL", reduce(or_, [F.col(k).isNull() for k in key])))
     if not checks:
         return None
-    row = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)])
+    zero = F.lit(0).cast("bigint")
+    row = grouped(df).agg(*[F.coalesce(F.sum(F.when(bad, F.col("__n"))), zero).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)])
     issues = [
         F.struct(F.lit(table.name).alias("table_name"), F.lit(column).alias("column_name"), F.lit(kind).alias("issue_type"), F.col(f"n{i}").alias("issue_count"), F.lit("").alias("example"), F.lit("FAIL").alias("severity"))
         for i, (column, kind, _) in enumerate(checks)
@@ -166,7 +181,7 @@ def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame],
             parts.append(_fixed(spark, table.name, c.name, "DATATYPE_VALIDATION", example=df.schema[c.name].dataType.simpleString()))
         if is_currency_column(c.name):
             wrong = F.col(c.name).isNotNull() & ~clean.is_currency_code(F.col(c.name))
-            bad = with_examples(df.where(wrong), [], F.col(c.name), F.lit(1), 5)
+            bad = with_examples(_of(grouped(df), wrong), [], F.col(c.name), F.col("__n"), 5)
             parts.append(_issue(bad, table.name, c.name, "INVALID_CURRENCY_CODE", example="example"))
     if (rows := _row_issues(df, table)) is not None:
         parts.append(rows)
@@ -174,7 +189,7 @@ def validate_table(df: DataFrame, table: TableSpec, typed: dict[str, DataFrame],
     if not table.primary_key and not table.allow_no_primary_key:
         parts.append(_fixed(spark, table.name, "", "NO_REVIEWED_PRIMARY_KEY"))
     if key:
-        groups = df.dropna(subset=key).groupBy(*key).agg(F.count("*").alias("c")).where("c > 1")
+        groups = _of(grouped(df), reduce(and_, [F.col(k).isNotNull() for k in key])).groupBy(*key).agg(F.sum("__n").alias("c")).where("c > 1")
         twice = with_examples(groups, [], F.concat_ws("+", *key), F.col("c"), 5)
         parts.append(_issue(twice, table.name, "+".join(key), "PK_DUPLICATE", example="example"))
     parts += reference_issues(df, table, typed, contract) if references else []

@@ -54,7 +54,8 @@ def with_examples(df: DataFrame, keys: list[str], value: Column, n: Column, most
     """
     counted = df.groupBy(*keys, value.alias("__value")).agg(F.sum(n).alias("n"))
     totals = counted.groupBy(*keys).agg(F.sum("n").alias("n"), F.lit(None).cast("string").alias("example"))
-    known = counted.where("__value IS NOT NULL")
+    # Not a condition on the value alone, which would be pushed below what counted shares with totals.
+    known = counted.where(F.when(F.col("__value").isNotNull(), F.col("n")) >= 0)
     if keys:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("__value"))
         known = known.withColumn("__place", place).where(F.col("__place") <= most)

@@ -115,7 +115,7 @@ def before_after(raw: DataFrame, table: TableSpec, contract: Contract, rates: Da
     )
     groups = raw.groupBy(*[f"`{e.spec.source}`" for e in every]).agg(F.count("*").alias("__n"))
     twice = groups.agg(total(F.col("__n") - 1).alias("duplicate_before"))
-    rows = target.groupBy(*target.columns).agg(F.count("*").alias("__n"))
+    rows = target.groupBy(*[f"`{c}`" for c in target.columns]).agg(F.count("*").alias("__n"))
     nulls = _nulls([F.col(f"`{c}`") for c in target.columns])
     after = rows.agg(total("__n").alias("output_rows"), total(F.col("__n") - 1).alias("duplicate_after"), total(nulls * F.col("__n")).alias("null_after"))
     # Each part is one row.

@@ -193,7 +193,7 @@ def missing_masks(spark, sf_dir):
 @query(f"SELECT {_first('segment', 5, _marker('segment'))} AS example FROM {_CUSTOMER} c")
 def marker_examples(spark, sf_dir):
     c = F.col("segment")
-    return _customer(spark, sf_dir).agg(clean.examples(F.when(clean.is_marker(c), c), 5).alias("example"))
+    return profile.with_examples(_customer(spark, sf_dir).where(clean.is_marker(c)), [], c, F.lit(1), 5).select("example")
 
 
 @query(f"""SELECT column_name, {_sum(f"value <> {_strip('value')}")} AS edge, {_sum("contains(value, '  ')")} AS repeated,
