@@ -6,6 +6,7 @@ import corpus_pipeline
 from assay.llm import quality_rules
 from assay.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm import brute
+from tests.llm.test_near_copies import _groups
 
 
 def _words(n, seed):
@@ -35,8 +36,9 @@ def test_pipeline(spark, tmp_path):
 
     kept = [(d, j[8]) for d, t, *_ in rows if (j := quality_rules.judge(t.encode() if t else None))[6]]
     assert 103 not in dict(kept) and len(kept) == len(rows) - 2
-    component = {d: c for d, _, c in brute.simhash(kept)}
-    kept = [(d, t) for d, t in kept if component[d] == d]
+    # Near copies by all pairs' Jaccard similarity of five-word shingles.
+    first = _groups(kept)
+    kept = [(d, t) for d, t in kept if d in first]
     dirty = {x[0] for x in brute.decontamination(kept, items) if x[-1]}
     kept = [(d, t.replace("password = hunter2222", "[REDACTED]")) for d, t in kept if d not in dirty]
     source = {r[0]: r[3] for r in rows}
@@ -50,6 +52,28 @@ def test_pipeline(spark, tmp_path):
         assert abs(sum(r.taken for r in result if r.source == s) - target) <= 1
 
 
+def test_pipeline_with_awkward_rows(spark, tmp_path):
+    """Other columns with names of our own, repeated rows, null and empty texts, ids and sources, a very
+    long text; and no documents or items at all."""
+    rows, items = _corpus()
+    long = "\n".join(" ".join(_words(25, 10_000 + i)).capitalize() + "." for i in range(8_000))
+    leaked = "\n".join(" ".join(_words(20, 777 * 31 + j)).capitalize() + "." for j in range(8)) + "\n" + items[0][1].capitalize() + "."
+    rows += [(203, leaked, "en", "s1", 1), (200, long, "en", "s0", 1), rows[7], rows[7], (None, rows[9][1], None, None, None), (201, "", "", "", 0), (202, None, None, "s1", None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, __row int, slot int, `at` string, size string"
+    docs = spark.createDataFrame([(*r, "r", 1, 2, "a", "z") for r in rows], schema)
+    for name, frame, given in (("full", docs, items), ("empty", docs.limit(0), items), ("no_items", docs, [])):
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(given, "item_id bigint, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    result = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    ids = Counter(r.doc_id for r in result)
+    assert ids[7] == 1 and ids[200] == 1 and not {201, 202, 203, 103} & set(ids)
+    assert next(r["size"] for r in result if r.doc_id == 200) == 200_000
+    # Of row 9 and its copy without an id the named one stays.
+    assert ids[9] == 1 and ids[None] == 0
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    assert 203 in {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/no_items").collect()}
+
+
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLE_SQL) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
