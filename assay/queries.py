@@ -348,11 +348,11 @@ def fk_orphans(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    read = lambda t, *e: _table(spark, sf_dir, t).selectExpr(*e)
+    """Whole tables whose keys share names, and their keys."""
     tables = {
-        "orders": read("orders", "o_orderkey AS order_id", "o_custkey AS customer_id"),
-        "customers": read("customer", "c_custkey AS customer_id", "c_nationkey AS nation_id"),
-        "nations": read("nation", "n_nationkey AS nation_id", "n_regionkey AS region_id"),
+        "orders": _table(spark, sf_dir, "orders").withColumnsRenamed({"o_orderkey": "order_id", "o_custkey": "customer_id"}),
+        "customers": _table(spark, sf_dir, "customer").withColumnsRenamed({"c_custkey": "customer_id", "c_nationkey": "nation_id"}),
+        "nations": _table(spark, sf_dir, "nation").withColumnsRenamed({"n_nationkey": "nation_id", "n_regionkey": "region_id"}),
     }
     return tables, {"orders": ["order_id"], "customers": ["customer_id"], "nations": ["nation_id"]}
 

@@ -114,14 +114,17 @@ def references_found(spark, sf_dir):
 
 
 _PROPOSED = (
-    ("orders", "order_id", "True", "", "orders"), ("orders", "customer_id", "False", "customers.customer_id", "orders"),
-    ("customers", "customer_id", "True", "", "customer"), ("customers", "nation_id", "False", "nations.nation_id", "customer"),
-    ("nations", "nation_id", "True", "", "nation"), ("nations", "region_id", "False", "", "nation"),
+    ("orders", "order_id", "string", "True", "", "orders"), ("orders", "customer_id", "string", "False", "customers.customer_id", "orders"), ("orders", "o_orderstatus", "string", "False", "", "orders"),
+    ("orders", "o_totalprice", "decimal", "False", "", "orders"), ("orders", "o_orderdate", "datetime", "False", "", "orders"), ("orders", "o_orderpriority", "string", "False", "", "orders"),
+    ("customers", "customer_id", "string", "True", "", "customer"), ("customers", "c_name", "string", "False", "", "customer"), ("customers", "nation_id", "string", "False", "nations.nation_id", "customer"),
+    ("customers", "c_acctbal", "decimal", "False", "", "customer"), ("customers", "c_mktsegment", "string", "False", "", "customer"),
+    ("nations", "nation_id", "string", "True", "", "nation"), ("nations", "n_name", "string", "False", "", "nation"), ("nations", "region_id", "string", "False", "", "nation"),
 )
 
 
-@query(" UNION ALL ".join(f"""SELECT '{t}' AS table_name, '{t}' AS silver_table_name, 'False' AS allow_no_primary_key, '{c}' AS source_column, '{c}' AS column_name, 'string' AS datatype,
-    'False' AS nullable, '{pk}' AS is_pk, '{'1' if pk == 'True' else ''}' AS pk_order, '{bool(fk)}' AS is_fk, '{fk}' AS fk_reference, CAST(count(*) AS VARCHAR) AS row_count, '0' AS duplicate_row_count FROM {source}""" for t, c, pk, fk, source in _PROPOSED))
+@query(" UNION ALL ".join(f"""SELECT '{t}' AS table_name, '{t}' AS silver_table_name, 'False' AS allow_no_primary_key, '{c}' AS source_column, '{c}' AS column_name, '{kind}' AS datatype,
+    CASE WHEN count({column}) < count(*) THEN 'True' ELSE 'False' END AS nullable, '{pk}' AS is_pk, '{'1' if pk == 'True' else ''}' AS pk_order, '{bool(fk)}' AS is_fk, '{fk}' AS fk_reference, CAST(count(*) AS VARCHAR) AS row_count,
+    CAST((SELECT coalesce(sum(c), 0) FROM (SELECT count(*) AS c FROM {source} GROUP BY ALL HAVING count(*) > 1)) AS VARCHAR) AS duplicate_row_count FROM {source}""".replace("SELECT count(*) AS c FROM", "SELECT *, count(*) AS c FROM") for t, c, kind, pk, fk, source in _PROPOSED for column in [{"order_id": "o_orderkey", "customer_id": "o_custkey" if t == "orders" else "c_custkey", "nation_id": "c_nationkey" if t == "customers" else "n_nationkey", "region_id": "n_regionkey"}.get(c, c)]))
 def schema_proposal(spark, sf_dir):
     return proposal.as_frame(spark, proposal.propose(_star(spark, sf_dir)[0]))
 
