@@ -96,13 +96,15 @@ def _packed(cells: DataFrame) -> DataFrame:
     """Each group's shares over one chunk of the vocabulary, four bytes each (a share is at most WHOLE + 1)."""
 
     def per_batch(batch):
-        out = []
-        for size, total, number, places in zip(*(values(batch, c) for c in ("width", "total", "terms", "places"))):
+        column = batch.column("places")
+        flat, ends = column.flatten(), np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        at, times = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        out, start = [], 0
+        for size, total, number, end in zip(*(values(batch, c) for c in ("width", "total", "terms")), ends.tolist()):
             n = np.zeros(size, dtype=np.int64)
-            if places:
-                at, times = np.array([(p["at"], p["n"]) for p in places], dtype=np.int64).T
-                n[at] = times
+            n[at[start:end]] = times[start:end]
             out.append((shares(n, total, number) if size else n).astype("<u4").tobytes())
+            start = end
         return {c: values(batch, c) for c in ("lang", "source", "block", "blocks", "chunk")} | {"packed": out}
 
     return map_batches(cells, per_batch, "lang string, source string, block int, blocks int, chunk int, packed binary")
