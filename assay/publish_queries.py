@@ -190,14 +190,11 @@ def script_tables(spark, sf_dir):
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
 def jdbc_customers(spark, sf_dir):
-    """The customers, written to the database that comes with Spark and read again in parts by key.
-
-    That database lives in the driver's process, so this one runs on a local master.
-    """
-    url = f"jdbc:derby:memory:assay_{uuid.uuid4().hex};create=true"
+    """The customers, loaded into a database of the kind that comes with Spark and read again in parts by key."""
     rows = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    upper = rows.toDF(*[c.upper() for c in rows.columns])
-    upper.repartition(4).write.option("createTableColumnTypes", "C_NAME VARCHAR(200), C_MKTSEGMENT VARCHAR(200)").jdbc(url, "customers")
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR(32672)"}
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/assay_{uuid.uuid4().hex}"
+    url = jdbc.packed(rows, "customers", {c: kinds[k] for c, k in rows.dtypes}, folder)
     return jdbc.read_partitioned(spark, url, "customers", "c_custkey", rows_a_task=500).toDF(*rows.columns)
 
 

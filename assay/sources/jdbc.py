@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that one task reads, about; how many tasks read a table at most, so many connections there are.
@@ -70,3 +76,53 @@ def inventory(spark: SparkSession, url: str, listing: str, options: dict[str, st
     """What a query of the database's catalog lists, such as its tables, in lower case by name."""
     found = spark.read.format("jdbc").options(**_options(url, options), query=listing).load()
     return found.select(*[F.col(c).alias(c.lower()) for c in found.columns])
+
+
+# ------------------------------------------------------------------ a database as one file
+
+
+def _line(df: DataFrame) -> Column:
+    """A row as a line to be loaded: texts quoted, their quotes doubled, null without quotes."""
+    cells = []
+    for c, kind in df.dtypes:
+        text = F.col(f"`{c}`").cast("string")
+        cells.append(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else text)
+    return F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells])
+
+
+def packed(df: DataFrame, table: str, types: dict[str, str], folder: str) -> str:
+    """The address of a read-only Derby database that holds df as one table; types are its columns' SQL types.
+
+    One process at a time may write a Derby database, so executors can't insert side by side: they
+    write lines, and the database, booted where this is called, loads these file by file into files
+    of its own. Packed (uncompressed, so that a page is found at once) into a jar in the folder, which
+    all machines must see as a local path, it is read by as many processes as there are.
+    """
+    spark = df.sparkSession
+    if re.match("[a-z0-9]{2,}:", folder) and not folder.startswith("file:"):
+        raise ValueError(f"{folder}: Derby opens local files only")
+    place = unquote(re.sub("^file:/+", "/", folder)) if folder.startswith("file:") else folder
+    df.select(_line(df).alias("value")).write.text(f"{folder}/lines")
+    connect = spark._jvm.java.sql.DriverManager.getConnection
+    with tempfile.TemporaryDirectory(prefix="assay-") as own:
+        base = Path(own).resolve() / "db"
+        link = connect(f"jdbc:derby:{base};create=true")
+        try:
+            run = link.createStatement()
+            run.execute(f"CREATE TABLE {table} ({', '.join(f'{c} {types[c]}' for c in df.columns)})")
+            for part in sorted(Path(place, "lines").glob("part-*")):
+                if part.stat().st_size:
+                    run.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{table.upper()}', '{str(part).replace("'", "''")}', ',', '\"', 'UTF-8', 0)")
+            run.close()
+        finally:
+            link.close()
+            try:
+                connect(f"jdbc:derby:{base};shutdown=true")
+            except Py4JJavaError:  # how Derby says that it is down
+                pass
+        with zipfile.ZipFile(Path(place, "db.jar"), "w", zipfile.ZIP_STORED) as jar:
+            for file in sorted(x for x in base.rglob("*") if x.is_file()):
+                jar.write(file, f"db/{file.relative_to(base)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/lines")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return f"jdbc:derby:jar:({Path(place, 'db.jar')})db"
