@@ -158,13 +158,13 @@ def missing_columns(review: DataFrame, present: DataFrame) -> DataFrame:
 
 def described(review: DataFrame) -> DataFrame:
     """(table_name, place, line): the readable summary of a review, a line a table (place 0) and a line a
-    column, in the order of their names."""
+    column, in the order of their names, columns of the same names by what is said of them."""
     r = _clean(review, SCHEMA_FIELDS)
     keys = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(flag(F.col("is_pk")), F.struct(F.coalesce(position(F.col("pk_order")), F.lit(0)).alias("at"), "column_name")))), lambda k: k["column_name"]), ", ")
     heads = r.groupBy("table_name", "silver_table_name").agg(F.coalesce(F.nullif(keys, F.lit("")), F.lit("none")).alias("k"))
     heads = heads.select("table_name", F.lit(0).alias("place"), F.concat("table_name", F.lit(" -> "), "silver_table_name", F.lit(" (key: "), "k", F.lit(")")).alias("line"))
     tail = F.when(flag(F.col("nullable")), "").otherwise(" not null")
-    place = F.row_number().over(Window.partitionBy("table_name").orderBy("source_column", "column_name"))
     kind = F.coalesce(logical_type(F.col("datatype")), F.lit("string"))
+    place = F.row_number().over(Window.partitionBy("table_name").orderBy("source_column", "column_name", kind, tail))
     lines = r.select("table_name", place.alias("place"), F.concat(F.lit("  "), "source_column", F.lit(" -> "), "column_name", F.lit(": "), kind, tail).alias("line"))
     return heads.unionByName(lines)
