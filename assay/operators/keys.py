@@ -18,6 +18,15 @@ PART_NAMES = ("date", "snapshot", "line", "sequence")
 MOST_PARTS, POOL = 3, 8
 #: About how many keys of all combinations together are looked at for two alike.
 WITNESSES = 4_000_000
+#: About how many rows, taken by chance, are looked at first, which rules out what is far from a key.
+GLANCE = 100_000
+#: Combinations that one pass looks at.
+AT_ONCE = 8
+#: Rows that share the values of a combination are kept, for the combinations around it, if they are no more than this.
+FEW = 2_000_000
+#: Types whose texts are never a marker of a missing value, and those whose values differ as their texts do.
+_NO_MARKERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp", "boolean")
+_PLAIN_KEYS = ("tinyint", "smallint", "int", "bigint", "decimal", "date")
 
 
 def _digest(c: Column) -> Column:
@@ -61,41 +70,93 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
 
 
+def _is(df: DataFrame, c: str, kinds: tuple[str, ...]) -> bool:
+    return dict(df.dtypes)[c].split("(")[0] in kinds
+
+
 def _parts(df: DataFrame, combo: tuple[str, ...]) -> list[Column]:
     """What tells rows apart by these columns of df: one column's join key, or several columns' values."""
     columns = [F.col(f"c{df.columns.index(c)}") for c in combo]
-    return [clean.join_key(columns[0].cast("string"))] if len(columns) == 1 else columns
+    return [clean.join_key(columns[0].cast("string"))] if len(columns) == 1 and not _is(df, combo[0], _PLAIN_KEYS) else columns
+
+
+def _alike(df: DataFrame, combos: list[tuple[str, ...]], rows: DataFrame, part: int) -> dict[tuple[str, ...], int]:
+    """Combinations of which some of the rows are seen to share the values, and how many such rows:
+    of each, the rows whose key falls in one of `part` parts of the key space are looked at."""
+    looked = []
+    for i, combo in enumerate(combos):
+        parts = _parts(df, combo)
+        name = F.xxhash64(F.lit(1), *parts)
+        key = F.struct(F.lit(i).alias("i"), name.alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
+        looked.append(key if part == 1 else F.when(F.pmod(name, F.lit(part)) == 0, key))
+    # A few at a time: Java doesn't compile the code of very many.
+    several = [rows.select(F.explode(F.array(*looked[i : i + AT_ONCE])).alias("k")) for i in range(0, len(looked), AT_ONCE)]
+    keys = reduce(DataFrame.unionAll, several).where("k IS NOT NULL").select("k.*")
+    twice = keys.groupBy("i", "a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    return {combos[r["i"]]: r["n"] for r in twice.groupBy("i").agg(F.sum("n").alias("n")).collect()}  # at most one row a combination
+
+
+def _disproved(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> dict[tuple[str, ...], int | None]:
+    """What disproved() finds, with about how many rows share their values; None: very many."""
+    plain = _plain(df)
+    gone: dict[tuple[str, ...], int | None] = {}
+    if combos and rows > 4 * GLANCE:
+        some = plain.where(F.rand(1) < GLANCE / rows).persist()
+        gone = dict.fromkeys(_alike(df, combos, some, 1))
+        some.unpersist()
+    if left := [c for c in combos if c not in gone]:
+        part = max(1, rows * len(left) // WITNESSES)
+        gone |= {c: n * part for c, n in _alike(df, left, plain, part).items()}
+    return gone
 
 
 def disproved(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> list[tuple[str, ...]]:
     """Combinations of which two rows are seen to share the values: surely no keys.
 
-    One pass looks at all combinations: of each, the rows whose key falls in one of many parts of
-    the key space (all rows of a small table), so what is shuffled is bounded. A combination that
-    isn't disproved may still be none; is_unique() tells.
+    A glance at some rows rules out most; one pass looks at the others: of each, the rows whose key
+    falls in one of many parts of the key space (all rows of a small table), so what is shuffled is
+    bounded. A combination that isn't disproved may still be none; is_unique() tells.
     """
-    if not combos:
-        return []
-    part = max(1, rows * len(combos) // WITNESSES)
-    looked = []
-    for i, combo in enumerate(combos):
-        parts = _parts(df, combo)
-        looked.append(F.array(F.lit(i).cast("bigint"), F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)))
-    keys = _plain(df).select(F.explode(F.filter(F.array(*looked), lambda k: F.pmod(k[1], F.lit(part)) == 0)).alias("k"))
-    twice = keys.select(*[F.col("k")[j].alias(x) for j, x in enumerate("iab")]).groupBy("i", "a", "b").agg(F.count("*").alias("n")).where("n > 1")
-    return [combos[r["i"]] for r in twice.select("i").distinct().collect()]  # at most one row a combination
+    return list(_disproved(df, combos, rows))
 
 
-def is_unique(df: DataFrame, combo: tuple[str, ...]) -> bool:
-    """Whether no two rows share these columns' values (of one column: its join keys), counted exactly."""
+def _twice(df: DataFrame, combo: tuple[str, ...]) -> DataFrame:
+    """(h): hashes of keys that two rows or more have; keys with no such hash are surely distinct."""
+    return _plain(df).select(F.xxhash64(*_parts(df, combo)).alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+
+
+def _hashed_among(df: DataFrame, combo: tuple[str, ...], hashes: DataFrame) -> DataFrame:
+    """The rows, columns named by number, whose key's hash is one of a few."""
+    return _plain(df).withColumn("h", F.xxhash64(*_parts(df, combo))).join(F.broadcast(hashes), "h", "left_semi").drop("h")
+
+
+def _none_twice(rows: DataFrame, df: DataFrame, combo: tuple[str, ...]) -> bool:
+    """Whether none of the rows, columns named by number, share the values, compared as they are."""
     parts = [p.alias(f"k{i}") for i, p in enumerate(_parts(df, combo))]
-    return _plain(df).select(*parts).groupBy(*[f"k{i}" for i in range(len(parts))]).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    return rows.select(*parts).groupBy(*[f"k{i}" for i in range(len(parts))]).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def is_unique(df: DataFrame, combo: tuple[str, ...]) -> bool:
+    """Whether no two rows share these columns' values (of one column: its join keys), counted exactly.
+
+    Hashes are counted; where two rows have the same, their values decide.
+    """
+    twice = _twice(df, combo).persist()
+    try:
+        if not twice.count():
+            return True
+        if not _none_twice(_hashed_among(df, combo, twice.limit(1000)), df, combo):
+            return False
+        return _none_twice(_plain(df), df, combo)
+    finally:
+        twice.unpersist()
 
 
 def complete_columns(df: DataFrame) -> tuple[int, list[str]]:
     """Rows, and the columns without a missing value, from one pass."""
     plain = _plain(df)
-    row = plain.agg(F.count("*").alias("n"), *[F.count_if(clean.is_missing(F.col(c).cast("string"))).alias(c) for c in plain.columns]).first()
+    missing = [F.col(f"c{i}").isNull() if _is(df, c, _NO_MARKERS) else clean.is_missing(F.col(f"c{i}").cast("string")) for i, c in enumerate(df.columns)]
+    row = plain.agg(F.count("*").alias("n"), *[F.count_if(m).alias(f"c{i}") for i, m in enumerate(missing)]).first()
     return row["n"], [c for i, c in enumerate(df.columns) if not row[f"c{i}"]]
 
 
@@ -107,15 +168,47 @@ def _first_unique(df: DataFrame, combos: list[tuple[str, ...]], rows: int) -> tu
 
 def minimal_keys(df: DataFrame, columns: list[str] | None = None, most_parts: int = MOST_PARTS) -> list[tuple[str, ...]]:
     """All combinations of up to most_parts columns without missing values that are unique and of
-    which no smaller one is: level by level, leaving out what holds a key already."""
+    which no smaller one is: level by level, leaving out what holds a key already.
+
+    Rows that share the values of a combination share those of all within it. So where few rows
+    share a smaller combination's values, these rows alone are asked about all that hold it.
+    """
     rows, complete = complete_columns(df)
     pool = [c for c in (columns or df.columns) if c in complete]
     found: list[tuple[str, ...]] = []
-    for size in range(1, most_parts + 1):
-        combos = [c for c in combinations(pool, size) if not any(set(k) <= set(c) for k in found)]
-        gone = set(disproved(df, combos, rows))
-        found += [c for c in combos if c not in gone and is_unique(df, c)]
-    return found
+    about: dict[tuple[str, ...], int | None] = {}
+    few: dict[tuple[str, ...], tuple[DataFrame, int]] = {}
+
+    def keep(combo: tuple[str, ...]) -> int:
+        """How many hashes repeat; the rows that have them are kept if they are few."""
+        twice = _twice(df, combo).persist()
+        if (n := twice.count()) <= FEW // 2:
+            kept = _hashed_among(df, combo, twice).persist()
+            few[combo] = kept, kept.count()
+        about[combo] = few[combo][1] if combo in few else None
+        twice.unpersist()
+        return n
+
+    def unique(combo: tuple[str, ...]) -> bool:
+        within = [s for n in range(1, len(combo)) for s in combinations(combo, n)]
+        if not any(s in few for s in within):
+            near = [s for s in within if about.get(s) is not None and about[s] <= FEW]
+            if near:
+                keep(min(near, key=about.get))
+        if known := [s for s in within if s in few]:
+            return _none_twice(few[min(known, key=lambda s: few[s][1])][0], df, combo)
+        return not keep(combo) or (_none_twice(few[combo][0], df, combo) if combo in few else is_unique(df, combo))
+
+    try:
+        for size in range(1, most_parts + 1):
+            combos = [c for c in combinations(pool, size) if not any(set(k) <= set(c) for k in found)]
+            gone = _disproved(df, combos, rows)
+            about |= gone
+            found += [c for c in combos if c not in gone and unique(c)]
+        return found
+    finally:
+        for kept, _ in few.values():
+            kept.unpersist()
 
 
 def suggest_primary_key(df: DataFrame) -> list[str]:
