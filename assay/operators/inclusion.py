@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.functions import clean
+from assay.operators.keys import match_keys
 
 #: Share of a column's rows that must be found in a parent for a reference to be proposed.
 LEAST_RATE = 0.80
@@ -19,7 +19,7 @@ LEAST_RATE = 0.80
 
 def _keys(name: str, df: DataFrame) -> DataFrame:
     """(table_name, column_name, key): a digest of each cell's match key; cells without one are left out."""
-    texts = df.select(*[clean.match_key(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns])
+    texts = df.select(*[match_keys(df, f"`{c}`").alias(c) for c in df.columns])
     cells = texts.unpivot([], texts.columns, "column_name", "text").where("text <> ''")
     digest = F.struct(F.xxhash64(F.lit(1), "text").alias("a"), F.xxhash64(F.lit(2), "text").alias("b"))
     return cells.select(F.lit(name).alias("table_name"), "column_name", digest.alias("key"))

@@ -34,6 +34,12 @@ def _digest(c: Column) -> Column:
     return F.when(F.length(c) > LONG, F.sha2(c, 256)).otherwise(c)
 
 
+def match_keys(df: DataFrame, c: str) -> Column:
+    """The match key of a column's texts; those of numbers, dates and flags have no white space to see to."""
+    text = F.col(c).cast("string")
+    return F.lower(text) if df.select(c).dtypes[0][1].split("(")[0] in _NO_MARKERS else clean.match_key(text)
+
+
 def key_candidates(df: DataFrame) -> DataFrame:
     """(column_name, row_count, missing, distinct_keys) of every column, keys compared stripped
     and in lower case."""
@@ -260,9 +266,8 @@ def duplicate_key_rows(df: DataFrame, key: list[str]) -> DataFrame:
 
 def match_rate(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """One row: child rows with a key, how many find it in the parent, and the share."""
-    key = clean.match_key(F.col(child_col).cast("string"))
-    rows = child.select(key.alias("k")).where("k <> ''").groupBy("k").agg(F.count("*").alias("n"))
-    parents = parent.select(clean.match_key(F.col(parent_col).cast("string")).alias("p")).where("p <> ''").distinct()
+    rows = child.select(match_keys(child, child_col).alias("k")).where("k <> ''").groupBy("k").agg(F.count("*").alias("n"))
+    parents = parent.select(match_keys(parent, parent_col).alias("p")).where("p <> ''").distinct()
     zero = F.lit(0).cast("bigint")
     out = rows.join(parents, F.col("k") == F.col("p"), "left").agg(
         F.coalesce(F.sum("n"), zero).alias("total_rows"), F.coalesce(F.sum(F.when(F.col("p").isNotNull(), F.col("n"))), zero).alias("matched_rows")
