@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from assay.functions import clean
 from assay.functions.names import column_name
-from assay.operators.profile import LONG, cells
+from assay.operators.profile import LONG, NO_MARKERS, cells
 
 # Columns with these words in their names can be part of a composite key.
 PART_NAMES = ("date", "snapshot", "line", "sequence")
@@ -24,8 +24,7 @@ GLANCE = 100_000
 AT_ONCE = 8
 #: Rows that share the values of a combination are kept, for the combinations around it, if they are no more than this.
 FEW = 2_000_000
-#: Types whose texts are never a marker of a missing value, and those whose values differ as their texts do.
-_NO_MARKERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp", "boolean")
+#: Types whose values differ as their texts do.
 _PLAIN_KEYS = ("tinyint", "smallint", "int", "bigint", "decimal", "date")
 
 
@@ -37,7 +36,7 @@ def _digest(c: Column) -> Column:
 def match_keys(df: DataFrame, c: str) -> Column:
     """The match key of a column's texts; those of numbers, dates and flags have no white space to see to."""
     text = F.col(c).cast("string")
-    return F.lower(text) if df.select(c).dtypes[0][1].split("(")[0] in _NO_MARKERS else clean.match_key(text)
+    return F.lower(text) if df.select(c).dtypes[0][1].split("(")[0] in NO_MARKERS else clean.match_key(text)
 
 
 def key_candidates(df: DataFrame) -> DataFrame:
@@ -161,7 +160,7 @@ def is_unique(df: DataFrame, combo: tuple[str, ...]) -> bool:
 def complete_columns(df: DataFrame) -> tuple[int, list[str]]:
     """Rows, and the columns without a missing value, from one pass."""
     plain = _plain(df)
-    missing = [F.col(f"c{i}").isNull() if _is(df, c, _NO_MARKERS) else clean.is_missing(F.col(f"c{i}").cast("string")) for i, c in enumerate(df.columns)]
+    missing = [F.col(f"c{i}").isNull() if _is(df, c, NO_MARKERS) else clean.is_missing(F.col(f"c{i}").cast("string")) for i, c in enumerate(df.columns)]
     row = plain.agg(F.count("*").alias("n"), *[F.count_if(m).alias(f"c{i}") for i, m in enumerate(missing)]).first()
     return row["n"], [c for i, c in enumerate(df.columns) if not row[f"c{i}"]]
 
@@ -237,14 +236,22 @@ def suggest_primary_key(df: DataFrame) -> list[str]:
 
 def key_quality(df: DataFrame, key: list[str]) -> DataFrame:
     """One row: rows with a missing part, duplicate groups and rows, groups equal but for case
-    and edges, and OK or REVIEW_PK."""
+    and edges, and OK or REVIEW_PK.
+
+    Numbers and dates are compared as they are: their texts differ as they do. Only with texts in
+    the key are groups grouped again.
+    """
     missing = F.lit(False)
     for c in key:
-        missing = missing | clean.is_missing(F.col(c).cast("string"))
-    groups = df.withColumn("__missing", missing).groupBy(*key).agg(F.count("*").alias("n"), F.count_if("__missing").alias("m"))
-    loose = groups.groupBy(*[clean.join_key(F.col(c).cast("string")).alias(c) for c in key]).agg(
-        F.sum("m").alias("m"), F.count_if(F.col("n") > 1).alias("g"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("r"), F.sum("n").alias("n")
-    )
+        missing = missing | (F.col(c).isNull() if _is(df, c, NO_MARKERS) else clean.is_missing(F.col(c).cast("string")))
+    groups = df.select(*key, missing.alias("__missing")).groupBy(*key).agg(F.count("*").alias("n"), F.count_if("__missing").alias("m"))
+    repeated = F.col("n") > 1
+    if all(_is(df, c, _PLAIN_KEYS) for c in key):
+        loose = groups.select("m", repeated.cast("bigint").alias("g"), F.when(repeated, F.col("n")).otherwise(0).alias("r"), "n")
+    else:
+        loose = groups.groupBy(*[F.col(c) if _is(df, c, _PLAIN_KEYS) else clean.join_key(F.col(c).cast("string")).alias(c) for c in key]).agg(
+            F.sum("m").alias("m"), F.count_if(repeated).alias("g"), F.sum(F.when(repeated, F.col("n")).otherwise(0)).alias("r"), F.sum("n").alias("n")
+        )
     zero = F.lit(0).cast("bigint")
     out = loose.agg(
         F.coalesce(F.sum("m"), zero).alias("missing_rows"), F.coalesce(F.sum("g"), zero).alias("duplicate_groups"),

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.config import NULL_MARKERS
 from assay.functions import clean
 from assay.functions.names import column_name
 
@@ -22,6 +23,8 @@ ISSUE_COLUMNS = ("table_name", "column_name", "issue_type", "issue_count", "exam
 TEXT_NAMES = ("_id", "code", "sku", "tax", "phone", "mobile", "tracking", "postal", "zip")
 DATE_NAMES = ("date", "time", "_at", "effective", "day")
 FLAG_STARTS, FLAG_ENDS = ("is_", "has_"), ("_flag", "_indicator")
+#: Types whose texts are never a marker of a missing value.
+NO_MARKERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp", "boolean")
 #: Longer values are compared by their digest.
 LONG = 64
 FLAG_TEXTS = ("true", "false", "yes", "no", "y", "n", "0", "1")
@@ -100,8 +103,11 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 def missing_values(df: DataFrame) -> DataFrame:
     """(column_name, real_null, marker_null, example) of the columns that miss values."""
-    found = _each(df, real_null=lambda c: F.count_if(c.isNull()), marker_null=lambda c: F.count_if(clean.is_marker(c)))
-    shown = with_examples(cells(df).where(clean.is_marker(F.col("value"))), ["column_name"], F.col("value"), F.lit(1), 5)
+    # Of a type that has no markers only nulls are told apart.
+    plain = lambda c: F.when(F.col(f"`{c}`").isNotNull(), F.lit("0"))
+    texts = df.select(*[plain(c).alias(c) if kind.split("(")[0] in NO_MARKERS else F.col(f"`{c}`").cast("string").alias(c) for c, kind in df.dtypes])
+    found = _each(texts, real_null=lambda c: F.count_if(c.isNull()), marker_null=lambda c: F.count_if(clean.is_marker(c)))
+    shown = with_examples(cells(texts).where(clean.is_marker(F.col("value"))), ["column_name"], F.col("value"), F.lit(1), 5)
     named = found.where("real_null + marker_null > 0").join(F.broadcast(shown.drop("n")), "column_name", "left")
     return named.select("column_name", "real_null", "marker_null", F.coalesce("example", F.lit("")).alias("example"))
 
@@ -149,12 +155,16 @@ _DATED, _DATE_START, _TIMED = "[-/:T ]", r"^ *\d{1,4}([-/]\d{1,2}[-/]\d|\d{4} *$
 _NUMERIC = r"^[\s+\-(.,]*\d"
 
 
-def type_parts(c: Column) -> dict[str, Column]:
-    """A text read once as a number and as a timestamp: what the measures of types go by."""
+def type_parts(c: Column, key: Column | None = None) -> dict[str, Column]:
+    """A text read once as a number and as a timestamp: what the measures of types go by.
+
+    key: the text's match key, where there is a column of it already.
+    """
+    key = clean.match_key(c) if key is None else key
     return {
-        "known": ~clean.is_missing(c), "number": F.when(c.rlike(_NUMERIC), clean.to_decimal(c)),
+        "known": c.isNotNull() & ~key.isin(*NULL_MARKERS), "number": F.when(c.rlike(_NUMERIC), clean.to_decimal(c)),
         "dated": F.coalesce(F.when(c.rlike(_DATE_START) & c.rlike(_DATED), clean.to_timestamp(c)).isNotNull(), F.lit(False)),
-        "timed": c.rlike(_TIMED), "flag": (F.length(c) < 64) & clean.match_key(c).isin(*FLAG_TEXTS),
+        "timed": c.rlike(_TIMED), "flag": (F.length(c) < 64) & key.isin(*FLAG_TEXTS),
     }
 
 
@@ -175,7 +185,8 @@ def type_evidence(df: DataFrame) -> DataFrame:
     code for all columns; only counts leave the task.
     """
     cells_ = F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])).alias("place", "value")
-    read = df.select(cells_).select("place", *[part.alias(n) for n, part in type_parts(F.col("value")).items()])
+    keyed = df.select(cells_).withColumn("key", clean.match_key(F.col("value")))
+    read = keyed.select("place", *[part.alias(n) for n, part in type_parts(F.col("value"), F.col("key")).items()])
     read = read.select("place", *[test.alias(n) for n, test in type_tests().items()])
     found = []
     for i, c in enumerate(df.columns):
