@@ -27,13 +27,14 @@ TRUE_TEXTS, FALSE_TEXTS = ("true", "1", "yes", "y", "t"), ("false", "0", "no", "
 
 
 def stripped(c: Column) -> Column:
-    """Without any white space at either end."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without any white space at either end. Texts whose ends are visible ASCII spare the pattern."""
+    plain = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    return F.when(plain, c).otherwise(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
 
 
-def match_key(c: Column) -> Column:
-    """What texts that differ in case and white space only share."""
-    return F.lower(F.regexp_replace(stripped(c), r"(?U)\s+", " "))
+def match_key(c: Column, bare: bool = False) -> Column:
+    """What texts that differ in case and white space only share; bare: they are stripped already."""
+    return F.lower(F.regexp_replace(c if bare else stripped(c), r"(?U)\s+", " "))
 
 
 def join_key(c: Column) -> Column:

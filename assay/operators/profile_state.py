@@ -7,11 +7,10 @@ these alone.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from assay.config import NULL_MARKERS
 from assay.functions import clean
 from assay.operators.profile import LONG, type_parts, type_tests
 
@@ -28,30 +27,41 @@ TYPES = ("effective", "numbers", "integers", "dates", "times", "flags")  # fmt:
 
 
 def _state(df: DataFrame, by: list[Column]) -> DataFrame:
-    """One row for each group and column: counts, extremes, a sketch and first examples of markers."""
+    """One row for each group and column: counts, extremes, a sketch and first examples of markers.
+
+    One pass: a row is turned to its cells within the task, and each is stripped and keyed once. Cells
+    are counted by marker first, so that the few distinct ones are there to choose examples from.
+    """
     names = [f"__by{i}" for i in range(len(by))]
-    texts = df.select(*[b.alias(n) for b, n in zip(by, names)], *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    each = texts.unpivot(names, [f"`{c}`" for c in df.columns], "column_name", "value")
+    cells = F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])).alias("place", "value")
     value = F.col("value")
+    each = df.select(*[b.alias(n) for b, n in zip(by, names)], cells).withColumn("bare", clean.stripped(value))
+    each = each.withColumn("key", clean.match_key(F.col("bare"), bare=True))
+    each = each.withColumn("marker", F.coalesce(F.col("key").isin(*NULL_MARKERS), F.lit(False)))
     each = each.select(
-        *names, "column_name", "value", F.coalesce(clean.is_marker(value), F.lit(False)).alias("marker"),
-        *[F.coalesce(f(value), F.lit(False)).alias(n) for n, f in (("edge", clean.edge_space), ("repeated", clean.repeated_space), ("control", clean.control_space))],
-        *[part.alias(n) for n, part in type_parts(value).items()],
+        *names, "place", "value", "marker", F.when(F.col("marker"), F.substring(value, 1, LONG)).alias("shown"),
+        F.coalesce(value != F.col("bare"), F.lit(False)).alias("edge"),
+        *[F.coalesce(f(value), F.lit(False)).alias(n) for n, f in (("repeated", clean.repeated_space), ("control", clean.control_space))],
+        *[part.alias(n) for n, part in type_parts(value, F.col("key")).items()],
     )
     known = F.when(F.col("known"), value)
-    head = lambda c: F.substring(c, 1, LONG)
     measures = [F.expr(e).alias(n) for n, e in COUNTS.items()]
     measures += [F.count_if(test).alias(n) for n, test in type_tests().items()]
     measures += [
         F.min(known).alias("least"), F.max(known).alias("most"),
         F.hll_sketch_agg(F.xxhash64(known), REGISTERS).alias("sketch"),
     ]
-    found = each.groupBy(*names, "column_name").agg(*measures)
-    first = F.row_number().over(Window.partitionBy(*names, "column_name").orderBy("shown"))
-    shown = each.where("marker").select(*names, "column_name", head(value).alias("shown")).distinct().withColumn("place", first).where(F.col("place") <= EXAMPLES)
-    shown = shown.groupBy(*names, "column_name").agg(F.array_sort(F.collect_list("shown")).alias("markers"))
-    same = reduce(lambda a, b: a & b, [F.col(f"f.{n}").eqNullSafe(F.col(f"s.{n}")) for n in [*names, "column_name"]])
-    return found.alias("f").join(shown.alias("s"), same, "left").select("f.*", F.coalesce("s.markers", F.array().cast("array<string>")).alias("markers"))
+    found = each.groupBy(*names, "place", "shown").agg(*measures)
+    first = F.row_number().over(Window.partitionBy(*names, "place").orderBy(F.col("shown").asc_nulls_last()))
+    markers = F.array_sort(F.collect_list(F.when(F.col("first") <= EXAMPLES, F.col("shown")))).alias("markers")
+    found = found.withColumn("first", first).groupBy(*names, "place").agg(*_sums(), markers)
+    column = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("place") + 1)
+    return found.withColumn("column_name", column).select(*names, "column_name", *COUNTS, *TYPES, "least", "most", "sketch", "markers")
+
+
+def _sums() -> list[Column]:
+    """Aggregates that unite states, but for the markers."""
+    return [*[F.sum(n).alias(n) for n in [*COUNTS, *TYPES]], F.min("least").alias("least"), F.max("most").alias("most"), F.hll_union_agg("sketch").alias("sketch")]
 
 
 def profile_state(df: DataFrame) -> DataFrame:
@@ -61,10 +71,9 @@ def profile_state(df: DataFrame) -> DataFrame:
 
 def merged(states: DataFrame) -> DataFrame:
     """One state from several of the same columns, in whatever parts the rows came."""
-    sums = [F.sum(n).alias(n) for n in [*COUNTS, *TYPES]]
     # Few values a file: those that are first in any part.
     markers = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("markers")))), 1, EXAMPLES)
-    return states.groupBy("column_name").agg(*sums, F.min("least").alias("least"), F.max("most").alias("most"), F.hll_union_agg("sketch").alias("sketch"), markers.alias("markers"))
+    return states.groupBy("column_name").agg(*_sums(), markers.alias("markers"))
 
 
 def report(state: DataFrame) -> DataFrame:

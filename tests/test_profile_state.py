@@ -65,3 +65,18 @@ def test_only_new_files_are_read(spark, tmp_path):
         with open(path, "wb"):
             pass
     assert told(profile_state.files_state(spark, source, kept)) == again
+
+
+def test_states_of_files_are_compiled(spark, tmp_path):
+    """Java compiles the code of the one pass over cells; where it doesn't, Spark evaluates it much more slowly."""
+    rows = [(" n/a ", "1"), (" x ", "2024-01-05"), ("N/A", ""), (None, "yes"), ("a  b", "x\x85")]
+    spark.createDataFrame(rows, "a string, b string").write.parquet(f"{tmp_path}/raw")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        state = profile_state.files_state(spark, spark.read.parquet(f"{tmp_path}/raw"), f"{tmp_path}/states")
+        found = {r.column_name: r for r in profile_state.report(state).collect()}
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    a, b = found["a"], found["b"]
+    assert (a.row_count, a.real_null, a.marker_null, a.edge, a.repeated, a.example) == (5, 1, 2, 2, 1, " n/a  | N/A")
+    assert (b.marker_null, b.edge, b.effective, b.numbers, b.dates, b.flags) == (1, 1, 4, 1, 1, 2)
