@@ -49,19 +49,24 @@ def _pieces(text: Column, rank: int, kind: str) -> Column:
     return F.when(there, F.filter(pieces, lambda p: p["size"].isNotNull()))
 
 
-def _scanned(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str | None) -> DataFrame:
+def _scanned(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str | None, copied_col: str | None = None) -> DataFrame:
     """(row, doc_id, owner, repository, pieces), saved; row is a hash of these and the text.
 
-    The only pass over the texts. Secrets are hashed before anything is written.
+    The only pass over the texts. Secrets are hashed before anything is written; pieces whose hash
+    is in the row's copied_col get none, like those that are too short.
     """
     frame = docs.select(
         F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
         F.col(repository_col or id_col).cast("string").alias("repository"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        _row(id_col, text_col, owner_col, repository_col).alias("row"),
+        _row(id_col, text_col, owner_col, repository_col).alias("row"), *([F.col(copied_col).alias("copied")] if copied_col else []),
     )
     empty = F.array().cast("array<struct<rank:int,i:int,gap:int,size:int,hash:string>>")
     kinds = [F.coalesce(_pieces(F.col("text"), rank, kind), empty) for rank, kind in enumerate(KINDS)]
-    return saved(frame.select("row", "doc_id", "owner", "repository", F.flatten(F.array(*kinds)).alias("pieces")))
+    pieces = F.flatten(F.array(*kinds))
+    if copied_col:
+        known = F.coalesce("copied", F.array().cast("array<string>"))
+        pieces = F.transform(pieces, lambda p: p.withField("hash", F.when(~F.array_contains(known, p["hash"]), p["hash"])))
+    return saved(frame.select("row", "doc_id", "owner", "repository", pieces.alias("pieces")))
 
 
 def _row(id_col: str, text_col: str, owner_col: str, repository_col: str | None) -> Column:
@@ -132,6 +137,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     )
 
 
+def with_copied(
+    docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None
+) -> DataFrame:
+    """All documents, all columns kept, and under a new name the hashes of each text's widely copied
+    examples (null if it has none), so that clean() can tell them when other documents have gone.
+
+    Null and empty texts have none, repeated rows each stay, an empty table stays empty. Only texts
+    with such an example meet the hashes; the others aren't shuffled.
+    """
+    scanned = _scanned(docs, id_col, text_col, owner_col, repository_col)
+    held = scanned.where(F.size("pieces") > 0).select("row", "owner", "repository", F.explode(F.array_distinct(F.col("pieces.hash"))).alias("hash")).where("hash IS NOT NULL")
+    # Saved, so that Spark can split a hash of very many rows where the two meet.
+    copied = saved(ownership(held).where("copied").select("hash"))
+    found = saved(held.join(copied, "hash").groupBy("row").agg(F.collect_set("hash").alias("hashes")))
+    for table in (scanned, copied):
+        discard(table)
+    row, near = unused(docs, "__row"), unused(docs, "__near")
+    marked = perhaps_among(docs.withColumn(row, _row(id_col, text_col, owner_col, repository_col)), row, found, "row", near)
+    some = marked.where(near).join(found.select(F.col("row").alias(row), F.col("hashes").alias(name)), row, "left")
+    none = marked.where(~F.col(near)).withColumn(name, F.lit(None).cast("array<string>"))
+    return none.select(*docs.columns, name).unionByName(some.select(*docs.columns, name))
+
+
 def _united(spans: DataFrame) -> DataFrame:
     """(row, spans): sorted spans (start, end) of each row, overlapping ones as one."""
     ordered = Window.partitionBy("row").orderBy("start", "end")
@@ -145,17 +173,19 @@ def _united(spans: DataFrame) -> DataFrame:
 def clean(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     repository_col: str | None = None, chars_col: str | None = "n_chars", mask: str = "[REDACTED]", corpus: DataFrame | None = None,
+    copied_col: str | None = None,
 ) -> DataFrame:
     """All documents, all columns kept, live-looking secrets masked; widely copied examples stay.
 
     corpus: documents, of the same columns, that count for ownership beside docs, such as those
-    that docs were chosen from. chars_col, where docs has it, gets the new text's length. Null and empty texts stay as they
+    that docs were chosen from. copied_col: a column of with_copied(), which then decides alone and
+    spares counting. chars_col, where docs has it, gets the new text's length. Null and empty texts stay as they
     are, repeated rows each stay, an empty table stays empty. Only texts with a secret to mask
     meet the spans; the others aren't shuffled.
     """
-    spans = saved(spans_of(_scanned(docs, id_col, text_col, owner_col, repository_col)))
+    spans = saved(spans_of(_scanned(docs, id_col, text_col, owner_col, repository_col, copied_col)))
     others = None if corpus is None else spans_of(_scanned(corpus, id_col, text_col, owner_col, repository_col))
-    live = saved(_united(_judged(spans, others).where(~F.col("copied"))))
+    live = saved(_united(spans if copied_col else _judged(spans, others).where(~F.col("copied"))))
     discard(spans)
     row, near, found = (unused(docs, n) for n in ("__row", "__near", "__spans"))
     marked = perhaps_among(docs.withColumn(row, _row(id_col, text_col, owner_col, repository_col)), row, live, "row", near)

@@ -77,3 +77,27 @@ def test_pipeline_with_awkward_rows(spark, tmp_path):
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLE_SQL) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_need_no_table_of_documents(spark, tmp_path):
+    """The stages work on the rows they are given: the folder of the tables need not hold the documents. All owners of a
+    secret count, though their documents go as copies; columns with names of our own stay as they are."""
+    rows, items = _corpus()
+    one, two, three = ("\n".join(" ".join(_words(20, 5_000 + 10 * k + j)).capitalize() + "." for j in range(6)) for k in range(3))
+    copied, live = "password: everyone7777", "token: onlyhere8888"
+    rows += [(300 + i, f"{one}\n{copied}", "en", f"o{i}", 1) for i in range(3)] + 2 * [(310, f"{two}\n{live}", "en", "o0", 1)]
+    rows += [(320, f"{three}\n{copied} {live}", None, None, None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, assay_copied_secrets int, Assay_Copied_Secrets_ array<string>"
+    given = docs = spark.createDataFrame([(*r, 1, ["x"]) for r in rows], schema)
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/tables/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        stage(spark, docs, f"{tmp_path}/tables").write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    out = {r.doc_id: r for r in docs.collect()}
+    assert docs.columns == given.columns and {(r.assay_copied_secrets, *r.Assay_Copied_Secrets_) for r in out.values()} == {(1, "x")}
+    assert not {301, 302} & set(out) and out[300].text == f"{one}\n{copied}"
+    assert out[310].text == f"{two}\n[REDACTED]" and out[310].n_chars == len(out[310].text)
+    assert out[320].text == f"{three}\n{copied} [REDACTED]"
+    # Without what the first stage found, the given rows alone are asked.
+    alone = {r.text for r in corpus_pipeline.secret_scan(spark, given.where("doc_id in (300, 310)"), f"{tmp_path}/tables").collect()}
+    assert alone == {f"{one}\n[REDACTED]", f"{two}\n[REDACTED]"}
