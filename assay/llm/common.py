@@ -108,8 +108,25 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-#: Words of 64 bits in the bitmap that perhaps_among() broadcasts: 4 MB of numbers however many keys there are.
+#: Words of 64 bits in the bitmap that perhaps_among() broadcasts: 2 MB of numbers however many keys there are.
 BITMAP_WORDS = 1 << 18
+#: Words in a row of the bitmap: a row has a key and an entry in a hash table besides, which the driver builds.
+ROW_WORDS = 8
+
+
+def _placed(column: str) -> tuple[Column, Column, Column]:
+    """Where a value stands in the bitmap: the row, the word in it, that word's bit."""
+    digest = f"xxhash64(`{column}`)"
+    word = f"pmod(shiftrightunsigned({digest}, 6), {BITMAP_WORDS}L)"
+    return F.expr(f"{word} div {ROW_WORDS}"), F.expr(f"CAST({word} % {ROW_WORDS} AS INT)"), F.expr(f"shiftleft(1L, CAST(pmod({digest}, 64) AS INT))")
+
+
+def bitmap(keys: DataFrame, key: str) -> DataFrame:
+    """(row, words): a bitmap of fixed size, BITMAP_WORDS / ROW_WORDS rows at most; a word without a bit is null."""
+    row, place, bit = _placed(key)
+    words = [F.bit_or(F.when(F.col("place") == i, F.col("bit"))).alias(f"w{i}") for i in range(ROW_WORDS)]
+    rows = keys.select(row.alias("row"), place.alias("place"), bit.alias("bit")).groupBy("row").agg(*words)
+    return rows.select("row", F.array(*[f"w{i}" for i in range(ROW_WORDS)]).alias("words"))
 
 
 def perhaps_among(df: DataFrame, column: str, keys: DataFrame, key: str, name: str) -> DataFrame:
@@ -118,18 +135,12 @@ def perhaps_among(df: DataFrame, column: str, keys: DataFrame, key: str, name: s
     The keys become a bitmap of fixed size, so it can be broadcast; the more keys, the more
     values are true for nothing. It only spares shuffling rows that a join would drop.
     """
-
-    word, bits = unused(df, "__word"), unused(df, "__bits")
-
-    def word_of(c: str) -> Column:
-        return F.pmod(F.shiftrightunsigned(F.xxhash64(f"`{c}`"), 6), F.lit(BITMAP_WORDS))
-
-    def bit_of(c: str) -> Column:
-        return F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(`{c}`), 64) AS INT))")
-
-    bitmap = keys.groupBy(word_of(key).alias(word)).agg(F.bit_or(bit_of(key)).alias(bits))
-    met = (F.col(word) == word_of(column)) & (F.col(bits).bitwiseAND(bit_of(column)) != 0)
-    return df.join(F.broadcast(bitmap), met, "left").select(*[F.col(f"`{c}`") for c in df.columns], F.col(bits).isNotNull().alias(name))
+    at, words = unused(df, "__at"), unused(df, "__words")
+    row, place, bit = _placed(column)
+    bits = bitmap(keys, key).withColumnsRenamed({"row": at, "words": words})
+    met = F.get(words, place).bitwiseAND(bit) != 0
+    joined = df.join(F.broadcast(bits), F.col(at) == row, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(met, F.lit(False)).alias(name))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from assay.llm import near_copies, simhash
+from assay.llm import common, near_copies, simhash
 
 
 def _shingles(text, length=5):
@@ -64,3 +64,29 @@ def test_near_copies_beyond_three_bits(spark):
     assert (prints[0] ^ prints[1]).bit_count() > simhash.MAX_BITS
     assert sorted(x.doc_id for x in near_copies.one_of_each(docs).collect()) == [1, 3]
     assert 2 in {x.doc_id for x in simhash.one_of_each(docs).collect()}
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Edges that are stars round their smallest nodes are components already: they are written once."""
+    written = []
+    save = simhash.saved
+    monkeypatch.setattr(simhash, "saved", lambda df: written.append(1) or save(df))
+    stars = spark.createDataFrame([(1, i) for i in range(2, 30)] + [(40, 41), (41, 40)], "a bigint, b bigint")
+    roots = {r.node: r.root for r in simhash.components(stars).collect()}
+    assert roots == {i: 1 for i in range(2, 30)} | {41: 40} and len(written) == 1
+    assert simhash.components(stars.limit(0)).count() == 0
+    met = spark.createDataFrame([(1, 3), (2, 3), (3, 4), (5, 6)], "a bigint, b bigint")
+    assert {r.node: r.root for r in simhash.components(met).collect()} == {2: 1, 3: 1, 4: 1, 6: 5}
+
+
+def test_bitmap_has_few_rows(spark):
+    """What the driver collects of a full bitmap is an eighth of its words; no key is lost, and few others pass."""
+    keys = spark.range(400_000).select("id")
+    rest = spark.range(400_000, 500_000)
+    assert common.bitmap(keys, "id").count() <= common.BITMAP_WORDS // 8
+    assert common.perhaps_among(keys, "id", keys, "id", "near").where("near").count() == 400_000
+    assert common.perhaps_among(rest, "id", keys, "id", "near").where("near").count() < 5_000
+    none = common.perhaps_among(rest, "id", keys.limit(0), "id", "near")
+    assert none.where("NOT near").count() == 100_000 and none.columns == ["id", "near"]
+    odd = spark.createDataFrame([(None,), ("a",)], "`a b` string")
+    assert common.perhaps_among(odd, "a b", odd, "a b", "near").where("near").count() == 2
