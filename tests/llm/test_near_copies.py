@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from assay.llm import common, near_copies, simhash
@@ -90,3 +91,36 @@ def test_bitmap_has_few_rows(spark):
     assert none.where("NOT near").count() == 100_000 and none.columns == ["id", "near"]
     odd = spark.createDataFrame([(None,), ("a",)], "`a b` string")
     assert common.perhaps_among(odd, "a b", odd, "a b", "near").where("near").count() == 2
+
+
+def test_lone_sets_go_no_further(spark, monkeypatch):
+    """Sets that alone hold over a fifth of their shingles meet no others, though a shingle of theirs is common; no set
+    that has a near copy goes, whatever else it shares."""
+    met = []
+    join = near_copies.links
+    monkeypatch.setattr(near_copies, "links", lambda docs, nodes, *more: met.extend(r.doc_id for r in nodes.select("doc_id").collect()) or join(docs, nodes, *more))
+    r, line = random.Random(3), "one line that all of these texts have in common"
+    rows = [(i, f"{line} " + " ".join(f"w{r.randrange(10**9)}" for _ in range(300))) for i in range(200)]
+    rows += [(1000 + i, _changed(r, rows[i][1].split(), 1 + i % 9)) for i in range(20)] + rows[:3]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert {x.doc_id for x in near_copies.one_of_each(docs).collect()} == _groups(rows)
+    assert {i for i in range(20)} | {1000 + i for i in range(20)} <= set(met) and len(met) < 60
+
+
+def test_crowded_shingles_are_looked_up(monkeypatch):
+    """A set's prefix takes a lookup for each of its shingles, not a pass over all crowded ones, of which 100,000 may be."""
+    r = np.random.default_rng(5)
+    crowded = np.sort(r.integers(0, 1 << 63, 100_000, dtype=np.uint64))
+    hashes = np.unique(np.concatenate([r.integers(0, 1 << 63, 500, dtype=np.uint64), crowded[::1000]]))
+    last = np.isin(hashes, crowded)
+    monkeypatch.setattr(np, "isin", None)
+    assert near_copies.prefix(hashes, crowded).tolist() == np.concatenate([hashes[~last], hashes[last]])[: len(hashes) // 5 + 1].tolist()
+    assert near_copies.prefix(hashes, crowded[:0]).tolist() == hashes[: len(hashes) // 5 + 1].tolist()
+
+
+def test_shingles_are_sets_of_words_in_order():
+    plain = lambda t: len(_shingles(t))
+    texts = ["", " \n", "a", "A", "a b", "b a", "a b c d e", "e d c b a", "a b c d e a b c d e", "x " * 50, " ".join(str(i % 7) for i in range(90))]
+    found = [near_copies.shingles(t.encode()).tolist() for t in texts]
+    assert [len(f) for f in found] == [plain(t) for t in texts] and all(f == sorted(f) for f in found)
+    assert found[2] == found[3] and len({tuple(f) for f in found}) == len({frozenset(_shingles(t)) for t in texts})
