@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.common import saved
+from assay.llm.common import row_hash, saved, unused
 
 WEIGHTS = (5, 2, 1)
 #: No source and no document is used more often than this.
@@ -74,8 +74,8 @@ def slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     return ranked.select("slot", "place", (F.col("own") + F.col("earlier")).cast("bigint").alias("k"))
 
 
-def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, part, at, start): every row's place in its source's shuffled tokens.
+def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """(doc_id, source, size, part, at, start): every row's place in its source's shuffled tokens. What row_col holds is kept as `row`.
 
     Sources are shuffled by MD5 of the id, rows without one by MD5 of the text, so that they don't
     all meet in one task; rows that tie are alike or ordered by size. Running
@@ -83,8 +83,10 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     a whole source.
     """
     size = F.coalesce(F.regexp_count("text", F.lit("[^ \t-\r]+")), F.lit(0)).cast("bigint")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    sized = sized.select("doc_id", "source", size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), "text", F.lit("")).cast("binary")).alias("h"))
+    row = ["row"] if row_col else []
+    own = [F.col(row_col).alias("row")] if row_col else []
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"), *own)
+    sized = sized.select("doc_id", "source", size.alias("size"), *row, F.md5(F.coalesce(F.col("doc_id").cast("string"), "text", F.lit("")).cast("binary")).alias("h"))
     sized = sized.withColumn("part", F.substring("h", 1, SPLIT))
     rows = Window.partitionBy("source", "part").orderBy("h", "size")
     inner = sized.withColumn("at", F.row_number().over(rows)).withColumn(
@@ -95,11 +97,13 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = parts.select(F.col("source").alias("s"), F.col("part").alias("p"), before.alias("before"))
     return inner.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).select(
-        "doc_id", "source", "size", "part", "at", (F.col("inner") + F.col("before")).alias("start")
+        "doc_id", "source", "size", "part", "at", (F.col("inner") + F.col("before")).alias("start"), *row
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, row_col: str | None = None
+) -> DataFrame:
     """The mix as pieces: each row of docs with the slots that take tokens of it.
 
     Columns doc_id, source, size, source_size, target, part, at (these two name the row), slot,
@@ -109,9 +113,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Null texts have size 0; a null source is a source of its own, last in order; rows with a
     null id are shuffled like the rest; repeated rows are each placed. With no words at all
-    every target is 0. An empty table gives an empty result; other columns are ignored.
+    every target is 0. An empty table gives an empty result; other columns are ignored, but for
+    row_col, which is kept as `row`.
     """
-    rows = saved(placed(docs, id_col, text_col, source_col))
+    rows = saved(placed(docs, id_col, text_col, source_col, row_col))
     targets = saved(source_targets(rows.select("source", "size")))
     schedule = saved(slots(targets, block))
     used = schedule.groupBy("place").agg(F.count("*").alias("n_slots"))
@@ -131,7 +136,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     frame = frame.withColumn("from", F.greatest("lo", begins)).withColumn("tokens", F.coalesce(F.least("hi", ends) - F.col("from"), F.lit(0)))
     return frame.join(schedule, ["place", "k"], "left").select(
         "doc_id", "source", "size", "source_size", "target", "part", "at", "slot",
-        (F.col("from") - F.col("lo")).alias("first"), "tokens",
+        (F.col("from") - F.col("lo")).alias("first"), "tokens", *(["row"] if row_col else []),
     )
 
 
@@ -144,3 +149,36 @@ def taken(pieces: DataFrame) -> DataFrame:
     row = ["source", "part", "at", "doc_id", "size", "source_size", "target"]
     total = F.sum(F.when(F.col("slot").isNotNull(), F.col("tokens")).otherwise(0)).alias("taken")
     return pieces.groupBy(*row).agg(total).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
+    """The mix as documents: each row of docs, texts and all other columns kept, with what the mix takes of it.
+
+    Columns doc_id, source, size, source_size, target, taken as in taken(), then pieces: structs (slot, first,
+    tokens) by slot, of which the schedule puts `tokens` words from word `first` on into `slot`. Then the
+    other columns of docs; one with a name of those before gets "_" behind its own. A row that no slot takes has 0
+    and no pieces. Repeated rows each have a place: which of them has which is open, as they are alike.
+    An empty table gives an empty result. Each text is shuffled once; repeated rows meet in one task.
+    """
+    row, copy, found = (unused(docs, n) for n in ("__row", "__copy", "__mixed"))
+    marked = docs.withColumn(row, row_hash(F.col(id_col), F.col(source_col).cast("string"), F.col(text_col).cast("string")))
+    pieces = mix(marked, id_col, text_col, source_col, block, row)
+    there = F.col("slot").isNotNull()
+    each = pieces.groupBy("row", "part", "at", "size", "source_size", "target").agg(
+        F.sum(F.when(there, F.col("tokens")).otherwise(0)).alias("taken"), F.array_sort(F.collect_list(F.when(there, F.struct("slot", "first", "tokens")))).alias("pieces")
+    )
+    own = ("size", "source_size", "target", "taken", "pieces")
+    mixed = each.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("part", "at", *own))).alias("places"))
+    numbered = marked.withColumn(copy, F.row_number().over(Window.partitionBy(row).orderBy(row)))
+    joined = numbered.join(mixed.select(F.col("row").alias(row), F.col("places").alias(found)), row)
+    place = F.col(found)[F.col(copy) - 1]
+    columns = [F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), *[place[n].alias(n) for n in own]]
+    names = {"doc_id", "source", *own}
+    others = [c for c in docs.columns if c not in (id_col, source_col)]
+    for column in others:
+        name = column
+        while name.lower() in names or name != column and name.lower() in {c.lower() for c in others}:
+            name += "_"
+        names.add(name.lower())
+        columns.append(F.col(f"`{column}`").alias(name))
+    return joined.select(*columns)

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from assay.llm import quality_rules
+from assay.llm import mixing, quality_rules
 from assay.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm import brute
 from tests.llm.test_near_copies import _groups
@@ -101,3 +101,22 @@ def test_stages_need_no_table_of_documents(spark, tmp_path):
     # Without what the first stage found, the given rows alone are asked.
     alone = {r.text for r in corpus_pipeline.secret_scan(spark, given.where("doc_id in (300, 310)"), f"{tmp_path}/tables").collect()}
     assert alone == {f"{one}\n[REDACTED]", f"{two}\n[REDACTED]"}
+
+
+def test_mix_returns_the_documents(spark):
+    """The last stage gives the texts that it mixes, all columns, and all pieces of the schedule; repeated rows and rows
+    without id, text or source each stay."""
+    rows = [(i, f"text {i} " + " ".join(_words(37 * i % 211, i)), f"s{i % 3}", i, "own", "more") for i in range(40)]
+    rows += [rows[4], rows[4], (None, rows[7][1], "s1", 7, "x", None), (None, None, None, None, None, None), (77, "", "s2", 0, "y", "z"), (4, rows[4][1], "s1", 4, "other", "w")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int, taken string, `a.b` string").repartition(3)
+    found = mixing.documents(docs, block=64)
+    assert found.columns == ["doc_id", "source", "size", "source_size", "target", "taken", "pieces", "text", "n_chars", "taken_", "a.b"]
+    out = found.collect()
+    assert Counter((r.doc_id, r.text, r.source, r.n_chars, r.taken_, r["a.b"]) for r in out) == Counter(rows)
+    pieces = mixing.mix(docs, block=64)
+    given = Counter((r.doc_id, r.source, r["size"], r.source_size, r.target, r.taken) for r in mixing.taken(pieces).collect())
+    assert Counter((r.doc_id, r.source, r["size"], r.source_size, r.target, r.taken) for r in out) == given
+    assert Counter((r.doc_id, p.slot, p.first, p.tokens) for r in out for p in r.pieces) == Counter((r.doc_id, r.slot, r["first"], r.tokens) for r in pieces.where("slot IS NOT NULL").collect())
+    assert all(r["size"] == len((r.text or "").split()) and r.taken == sum(p.tokens for p in r.pieces) and [p.slot for p in r.pieces] == sorted(p.slot for p in r.pieces) for r in out)
+    assert all(0 <= p.first and p.first + p.tokens <= r["size"] for r in out for p in r.pieces)
+    assert corpus_pipeline.mix(spark, docs, "").columns == found.columns and corpus_pipeline.mix(spark, docs.limit(0), "").count() == 0
